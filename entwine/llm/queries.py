@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, packing, token_counts
+from . import bpe, media, packing, token_counts, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,14 @@ def op2_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=1, size=2048)
 
 
+# The rules of the query, as verdict and rule.
+URL_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
+
+
+def op4_url_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
 
@@ -28,9 +36,13 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+def op10_media_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.store_and_read(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_mixture_packing, op5_token_counts, op9_byte_bpe)}
+    return {f.__name__: f for f in (op2_mixture_packing, op4_url_vocabulary, op5_token_counts, op9_byte_bpe, op10_media_chunks)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_url_vocabulary": url_filter.sql(URL_RULES)}
