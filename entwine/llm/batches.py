@@ -97,3 +97,27 @@ def running_total(df: DataFrame, group: str, order: str, value: str, out: str) -
     blocks = blocks.select(group, "_block", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
     inside = df.withColumn("_inside", F.coalesce(F.sum(value).over(before), F.lit(0)))
     return inside.join(blocks, [group, "_block"]).withColumn(out, F.col("_before") + F.col("_inside")).drop("_before", "_inside", "_block")
+
+
+SLOTS = 1 << 23
+
+
+def slot_of(column: str):
+    """A number below SLOTS for each key."""
+    return F.pmod(F.xxhash64(column), F.lit(SLOTS)).cast("int")
+
+
+def bitmap(keys: DataFrame, column: str) -> bytes:
+    """Of the keys' slots: SLOTS / 8 bytes for any number of keys, gathered as at most SLOTS / 32 numbers.
+
+    A first sieve before a join: it lets all wanted keys pass, and some others; the more keys, the more others.
+    """
+    words = keys.select(slot_of(column).alias("s")).groupBy(F.floor(F.col("s") / 32).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, s % 32)")).alias("bits"))
+    out = np.zeros(SLOTS // 32, "<u4")
+    found = words.toArrow()
+    out[found.column("w").to_numpy()] = found.column("bits").to_numpy()
+    return out.tobytes()
+
+
+def passes(slots: np.ndarray, bits: bytes) -> np.ndarray:
+    return (np.frombuffer(bits, np.uint8)[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1 == 1

@@ -31,13 +31,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .batches import Stages, bounded_batches, slices
+from .batches import Stages, bitmap, bounded_batches, passes, slices, slot_of
 
 UNIT, PAD = 576, b"\xff"
 LEAST, MOST, MASK_BITS = 256, 8192, 10
 DIGEST = 16
 SEEN = 200_000  # digests that a task remembers; beyond that it starts anew and may write a chunk twice
-SLOTS = 1 << 20
 FORMAT = b"CDC1"
 
 GEAR = np.random.default_rng(20260101).integers(0, 1 << 32, 256, dtype=np.uint32)
@@ -175,16 +174,6 @@ def results(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], RESULT)
 
 
-def bitmap(found: DataFrame, column: str) -> bytes:
-    """Of the keys' slots; SLOTS / 8 bytes for any number of keys, gathered as at most SLOTS / 32 words."""
-    slot = F.pmod(F.xxhash64(column), F.lit(SLOTS)).cast("int")
-    bits = found.select(slot.alias("s")).groupBy(F.floor(F.col("s") / 32).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, s % 32)")).alias("bits"))
-    out = np.zeros(SLOTS // 32, "<u4")
-    for r in bits.collect():
-        out[r["w"]] = r["bits"]
-    return out.tobytes()
-
-
 def store_and_read(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature."""
     bounded_batches(docs.sparkSession)
@@ -197,8 +186,7 @@ def store_and_read(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     lenders, borrowers = bitmap(foreign, "owner"), bitmap(foreign, "key")
 
     def passed(b: pa.RecordBatch, bits: bytes) -> np.ndarray:
-        slot = b.column("slot").to_numpy()
-        return (np.frombuffer(bits, np.uint8)[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+        return passes(b.column("slot").to_numpy(), bits)
 
     def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "block"):
@@ -227,7 +215,7 @@ def store_and_read(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 rows.append(measured(head["sha"], head["payload_bytes"], head["sizes"], head["digests"], parts))
             yield results(rows)
 
-    slotted = packs.withColumn("slot", F.pmod(F.xxhash64("key"), F.lit(SLOTS)).cast("int"))
+    slotted = packs.withColumn("slot", slot_of("key"))
     local = slotted.mapInArrow(alone, RESULT_TYPE)
     chunk_type = "key long, idx int, chunk binary, head struct<sha:binary,payload_bytes:long,sizes:binary,digests:binary>"
     mine = slotted.mapInArrow(own, chunk_type)

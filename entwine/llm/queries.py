@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, media, packing, token_counts, url_filter
+from . import bpe, media, minmax, packing, token_counts, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op2_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=1, size=2048)
 
 
+def op3_minmax_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
+
+
 # The rules of the query, as verdict and rule.
 URL_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
 
@@ -41,7 +45,7 @@ def op10_media_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_mixture_packing, op4_url_vocabulary, op5_token_counts, op9_byte_bpe, op10_media_chunks)}
+    return {f.__name__: f for f in (op2_mixture_packing, op3_minmax_near_duplicates, op4_url_vocabulary, op5_token_counts, op9_byte_bpe, op10_media_chunks)}
 
 
 def oracle_sql() -> dict[str, str]:
