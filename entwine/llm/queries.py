@@ -6,14 +6,24 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, media, minmax, packing, token_counts, url_filter
+from . import bpe, language, media, minmax, packing, token_counts, url_filter
+from .training import remainder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trained on the rows whose crc32 remainder by 4 is not 2; predicts for all."""
+    docs = table(spark, sf_dir, "documents")
+    model = language.train(docs.where(remainder(F.col("doc_id"), 4) != 2), "doc_id", "text", "lang")
+    found = language.identify(docs, model)
+    return found.select("doc_id", (remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op2_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of every document in windows of 2048 tokens that each hold the sources in the corpus's proportions."""
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=1, size=2048)
@@ -45,7 +55,7 @@ def op10_media_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_mixture_packing, op3_minmax_near_duplicates, op4_url_vocabulary, op5_token_counts, op9_byte_bpe, op10_media_chunks)}
+    return {f.__name__: f for f in (op1_language_crf, op2_mixture_packing, op3_minmax_near_duplicates, op4_url_vocabulary, op5_token_counts, op9_byte_bpe, op10_media_chunks)}
 
 
 def oracle_sql() -> dict[str, str]:
