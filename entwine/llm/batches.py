@@ -107,12 +107,12 @@ def slot_of(column: str):
     return F.pmod(F.xxhash64(column), F.lit(SLOTS)).cast("int")
 
 
-def bitmap(keys: DataFrame, column: str) -> bytes:
-    """Of the keys' slots: SLOTS / 8 bytes for any number of keys, gathered as at most SLOTS / 32 numbers.
+def bitmap(keys: DataFrame, slot) -> bytes:
+    """Of the slots of all rows: SLOTS / 8 bytes for any number of keys, gathered as at most SLOTS / 32 numbers.
 
     A first sieve before a join: it lets all wanted keys pass, and some others; the more keys, the more others.
     """
-    words = keys.select(slot_of(column).alias("s")).groupBy(F.floor(F.col("s") / 32).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, s % 32)")).alias("bits"))
+    words = keys.select(slot.alias("s")).groupBy(F.floor(F.col("s") / 32).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, s % 32)")).alias("bits"))
     out = np.zeros(SLOTS // 32, "<u4")
     found = words.toArrow()
     out[found.column("w").to_numpy()] = found.column("bits").to_numpy()

@@ -322,7 +322,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, limit=1 << 19):
+        for b in slices(batches, limit=1 << 18):
             names, scores = labelled(b, shared.value)
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(names, pa.string()), pa.array(scores)], ["id", "lang_pred", "score"])
 

@@ -31,10 +31,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .batches import Stages, bitmap, bounded_batches, passes, slices, slot_of
+from .batches import SLOTS, Stages, bitmap, bounded_batches, passes, slices, slot_of
 
 UNIT, PAD = 576, b"\xff"
-LEAST, MOST, MASK_BITS = 256, 8192, 10
+LEAST, MOST, MASK_BITS = 1024, 32768, 12
 DIGEST = 16
 SEEN = 200_000  # digests that a task remembers; beyond that it starts anew and may write a chunk twice
 FORMAT = b"CDC1"
@@ -156,15 +156,18 @@ def opened(row: dict) -> dict[int, bytes]:
     return {i: by[d] for i, d in enumerate(digests) if d in by}
 
 
+HEAD = ["sha", "payload_bytes", "digests", "sizes", "here", "block"]
 RESULT = ["sha", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
 RESULT_TYPE = "sha binary, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
 
-def measured(sha: bytes, size: int, sizes: bytes, digests: bytes, parts: list[bytes]) -> tuple:
-    payload = b"".join(parts)
-    if hashlib.sha256(payload).digest() != sha or len(payload) != size:
+def measured(row: dict, chunks: dict[int, bytes]) -> tuple:
+    """The result row of a payload put together from the chunks of its list."""
+    parts = [chunks[i] for i in range(len(row["sizes"]) // 4)]
+    payload, sha = b"".join(parts), row["sha"]
+    if hashlib.sha256(payload).digest() != sha or len(payload) != row["payload_bytes"]:
         raise ValueError("a payload read back does not match its digest")
-    form = medium(size, sizes, digests)
+    form = medium(len(payload), row["sizes"], row["digests"])
     return sha, sha.hex(), zlib.crc32(payload[-32:]), len(form), hashlib.sha256(form).hexdigest(), feature(payload, len(parts))
 
 
@@ -174,6 +177,11 @@ def results(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], RESULT)
 
 
+def digest_slot(column: str):
+    """A slot from the first three bytes of a digest, which are as good as any hash of it."""
+    return (F.conv(F.hex(F.substring(column, 1, 3)), 16, 10).cast("int") % SLOTS).cast("int")
+
+
 def store_and_read(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature."""
     bounded_batches(docs.sparkSession)
@@ -183,44 +191,45 @@ def store_and_read(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     entries = packs.select("key", "digests", "here").mapInArrow(list_rows, "digest binary, key long, idx int, here boolean")
     places = stages.put(entries.where("here").groupBy("digest").agg(F.min("key").alias("owner")))
     foreign = stages.put(entries.join(places, "digest").where("owner <> key").select("key", "idx", "digest", "owner"))
-    lenders, borrowers = bitmap(foreign, "owner"), bitmap(foreign, "key")
-
-    def passed(b: pa.RecordBatch, bits: bytes) -> np.ndarray:
-        return passes(b.column("slot").to_numpy(), bits)
+    lent_bits, borrowers = bitmap(foreign, digest_slot("digest")), bitmap(foreign, slot_of("key"))
 
     def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "block"):
-            rows = b.filter(pa.array(~passed(b, borrowers))).to_pylist()
-            yield results([measured(r["sha"], r["payload_bytes"], r["sizes"], r["digests"], list(opened(r).values())) for r in rows])
+            rows = b.filter(pa.array(~passes(b.column("slot").to_numpy(), borrowers))).to_pylist()
+            yield results([measured(r, opened(r)) for r in rows])
 
     def lent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "block"):
-            found = [(d, r["key"], c) for r in b.filter(pa.array(passed(b, lenders))).to_pylist() for ds, own in [(listed(r["digests"]), opened(r))] for d, c in {ds[i]: c for i, c in own.items()}.items()]
+            found = []
+            for r in b.to_pylist():
+                digests = listed(r["digests"])
+                slots = np.array([int.from_bytes(d[:3], "big") % SLOTS for d in digests])
+                wanted = np.flatnonzero(passes(slots, lent_bits) & (np.frombuffer(r["here"], np.uint8) > 0))
+                if len(wanted):
+                    chunks = opened(r)
+                    found += [(digests[i], r["key"], chunks[i]) for i in wanted.tolist()]
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], t) for k, t in enumerate((pa.binary(), pa.int64(), pa.binary()))], ["digest", "owner", "chunk"])
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "block"):
-            found = [(r["key"], i, c, r if not i or i == min(o) else None) for r in b.filter(pa.array(passed(b, borrowers))).to_pylist() for o in [opened(r)] for i, c in (o or {-1: b""}).items()]
-            head = [None if x[3] is None else {k: x[3][k] for k in ("sha", "payload_bytes", "sizes", "digests")} for x in found]
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int32()), pa.array([x[2] for x in found], pa.binary()), pa.array(head, pa.struct([("sha", pa.binary()), ("payload_bytes", pa.int64()), ("sizes", pa.binary()), ("digests", pa.binary())]))], ["key", "idx", "chunk", "head"])
+        """The blocks of the borrowers, still compressed."""
+        for b in batches:
+            yield b.filter(pa.array(passes(b.column("slot").to_numpy(), borrowers))).select(["key", *HEAD])
 
     def rebuilt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
-            for head, chunks in zip(b.column("head").to_pylist(), b.column("chunks").to_pylist(), strict=True):
-                by = {c["idx"]: c["chunk"] for c in chunks if c["idx"] >= 0}
-                parts = [by[i] for i in range(len(head["sizes"]) // 4)]
-                if any(digest_of(p) != d for p, d in zip(parts, listed(head["digests"]), strict=True)):
+            for r in b.to_pylist():
+                chunks, digests = {c["idx"]: c["chunk"] for c in r["chunks"]}, listed(r["digests"])
+                if any(digest_of(c) != digests[i] for i, c in chunks.items()):
                     raise ValueError("a chunk read back does not match its digest")
-                rows.append(measured(head["sha"], head["payload_bytes"], head["sizes"], head["digests"], parts))
+                rows.append(measured(r, opened(r) | chunks))
             yield results(rows)
 
     slotted = packs.withColumn("slot", slot_of("key"))
     local = slotted.mapInArrow(alone, RESULT_TYPE)
-    chunk_type = "key long, idx int, chunk binary, head struct<sha:binary,payload_bytes:long,sizes:binary,digests:binary>"
-    mine = slotted.mapInArrow(own, chunk_type)
-    borrowed = foreign.join(slotted.mapInArrow(lent, "digest binary, owner long, chunk binary"), ["digest", "owner"]).select("key", "idx", "chunk", F.lit(None).cast(mine.schema["head"].dataType).alias("head"))
-    # A list entry that is both in the own block and has its place elsewhere comes twice with the same bytes.
-    gathered = mine.unionByName(borrowed).groupBy("key").agg(F.collect_list(F.struct("idx", "chunk")).alias("chunks"), F.first("head", ignorenulls=True).alias("head"))
-    read = stages.put(local.unionByName(gathered.select("head", "chunks").mapInArrow(rebuilt, RESULT_TYPE)).dropDuplicates(["sha"]))
+    mine = slotted.mapInArrow(own, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in packs.select("key", *HEAD).schema))
+    borrowed = foreign.join(packs.mapInArrow(lent, "digest binary, owner long, chunk binary"), ["digest", "owner"]).select("key", F.struct("idx", "chunk").alias("c"))
+    both = mine.withColumn("c", F.lit(None).cast(borrowed.schema["c"].dataType)).unionByName(borrowed, allowMissingColumns=True)
+    gathered = both.groupBy("key").agg(F.collect_list("c").alias("chunks"), *(F.first(h, ignorenulls=True).alias(h) for h in HEAD))
+    read = stages.put(local.unionByName(gathered.mapInArrow(rebuilt, RESULT_TYPE)).dropDuplicates(["sha"]))
     return store.select(F.col("id").alias(id_col), "n_bytes", "payload_bytes", "sha").join(read, "sha").drop("sha")

@@ -33,6 +33,7 @@ from .shingles import min_max, mixed, shingle_sets
 PERMUTATIONS, BANDS = 56, 28
 SIEVE = 0.6
 BUCKET, BLOCK = 512, 256
+TEXT_SLICE = 1 << 18  # bytes of text; hashing takes some hundred bytes for each
 
 
 def signed(x: np.ndarray) -> np.ndarray:
@@ -44,7 +45,7 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
     bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
+        for b in slices(batches, limit=TEXT_SLICE):
             values, offsets = shingle_sets(*utf8(b.column("text")), width)
             n = np.diff(offsets)
             full = np.flatnonzero(n)
@@ -69,12 +70,13 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, n_shingles long, f1 long, f2 long, bands array<long>, coarse binary")
 
 
-def by_group(work: Callable[[list[dict]], pa.RecordBatch], key: str) -> Callable:
-    """Runs `work` on the rows of each key, for partitions that are sorted by the key; a group may span batches."""
+def by_group(work: Callable[[list[dict]], pa.RecordBatch], key: str, heavy: str) -> Callable:
+    """Runs `work` on the rows of each key, for partitions that are sorted by the key; a group may span batches.
+    heavy: the column with most of the bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
-        for b in batches:
+        for b in slices(batches, heavy):
             for row in b.to_pylist():
                 if held and held[0][key] != row[key]:
                     yield work(held)
@@ -117,7 +119,7 @@ def candidates(reps: DataFrame, stages: Stages) -> DataFrame:
     members = stages.put(banded.join(buckets, "band"))
     star = members.where(f"m > {BUCKET} and id <> center").select(F.col("id").alias("a"), F.col("center").alias("b"))
     small = members.where(f"m <= {BUCKET}").join(reps.select("id", "coarse"), "id").select("band", "id", "coarse")
-    linked = small.repartition("band").sortWithinPartitions("band").mapInArrow(by_group(likely, "band"), "a long, b long")
+    linked = small.repartition("band").sortWithinPartitions("band").mapInArrow(by_group(likely, "band", "coarse"), "a long, b long")
     return star.unionByName(linked)
 
 
@@ -125,7 +127,7 @@ def shingle_rows(docs: DataFrame, wanted: bytes, width: int) -> DataFrame:
     """docs (id, text, slot) -> (id, shingles) of the texts that pass the sieve."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
+        for b in slices(batches, limit=TEXT_SLICE):
             b = b.filter(pa.array(passes(b.column("slot").to_numpy(), wanted)))
             values, offsets = shingle_sets(*utf8(b.column("text")), width)
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([values[x:y].tobytes() for x, y in zip(offsets[:-1], offsets[1:], strict=True)], pa.binary())], ["id", "shingles"])
@@ -164,9 +166,9 @@ def true_links(docs: DataFrame, near: DataFrame, stages: Stages, width: int, per
     blocks = F.ceil(F.col("m") / BLOCK)
     placed = near.join(sizes, "root").select(F.col("node").alias("id"), "root", blocks.alias("n"), F.pmod(F.xxhash64("node"), blocks).alias("block"))
     tiles = placed.select("id", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), lambda o: F.xxhash64("root", F.least("block", o), F.greatest("block", o)))).alias("tile"))
-    sets = shingle_rows(docs.withColumn("slot", slot_of("id")), bitmap(near, "node"), width)
+    sets = shingle_rows(docs.withColumn("slot", slot_of("id")), bitmap(near, slot_of("node")), width)
     held = tiles.join(sets, "id").select("tile", "id", "shingles")
-    return held.repartition("tile").sortWithinPartitions("tile").mapInArrow(by_group(exact(percent), "tile"), "a long, b long")
+    return held.repartition("tile").sortWithinPartitions("tile").mapInArrow(by_group(exact(percent), "tile", "shingles"), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
