@@ -35,9 +35,9 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(raw: np.ndarray, offsets: np.ndarray, separators: np.ndarray = SEPARATORS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Begin and end of each word, and how many words each text has. Words do not cross texts."""
-    inside = ~SEPARATORS[raw]
+    inside = ~separators[raw]
     n = len(raw)
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True
