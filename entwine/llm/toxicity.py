@@ -157,14 +157,16 @@ def apart(votes: np.ndarray) -> list[int]:
     return kept
 
 
-def logistic(x: np.ndarray, y: np.ndarray, steps: int = 800, rate: float = 0.1, decay: float = 3e-6) -> tuple[np.ndarray, float]:
-    """Adam steps on the logistic loss with soft labels."""
+def logistic(x: np.ndarray, y: np.ndarray, steps: int = 800, rate: float = 0.03, decay: float = 3e-6) -> tuple[np.ndarray, float]:
+    """Adam steps on the logistic loss. y: posteriors; the likelier label is learned, weighted by how sure it is. (Soft
+    labels would hold every text with several terms at the posterior of a text with one.)"""
+    sure = np.abs(2 * y - 1) / len(y)
     w, m, s = np.zeros(x.shape[1] + 1), np.zeros(x.shape[1] + 1), np.zeros(x.shape[1] + 1)
     for t in range(1, steps + 1):
-        error = (1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -40, 40))) - y) / len(y)
+        error = (1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -40, 40))) - (y > 0.5)) * sure
         g = np.append(x.T @ error + decay * w[:-1], error.sum())
-        m, s = 0.9 * m + 0.1 * g, 0.999 * s + 0.001 * g**2
-        w -= rate * (m / (1 - 0.9**t)) / (np.sqrt(s / (1 - 0.999**t)) + 1e-9)
+        m, s = 0.9 * m + 0.1 * g, 0.98 * s + 0.02 * g**2
+        w -= rate * (m / (1 - 0.9**t)) / (np.sqrt(s / (1 - 0.98**t)) + 1e-9)
     return w[:-1], float(w[-1])
 
 
