@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language, media, minmax, packing, quality, token_counts, toxicity, url_filter
+from . import bpe, language, media, minmax, nndescent, packing, quality, token_counts, toxicity, url_filter
 from .training import remainder
 
 
@@ -63,6 +63,11 @@ def op7_toxicity_weak(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (remainder(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op8_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest other vectors of every vector whose id is divisible by 100."""
+    return nndescent.neighbours(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10)
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole text and the digest of what they decode to."""
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
@@ -73,7 +78,7 @@ def op10_media_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_crf, op2_mixture_packing, op3_minmax_near_duplicates, op4_url_vocabulary, op5_token_counts, op6_quality_cnn, op7_toxicity_weak, op9_byte_bpe, op10_media_chunks)}
+    return {f.__name__: f for f in (op1_language_crf, op2_mixture_packing, op3_minmax_near_duplicates, op4_url_vocabulary, op5_token_counts, op6_quality_cnn, op7_toxicity_weak, op8_nn_descent, op9_byte_bpe, op10_media_chunks)}
 
 
 def oracle_sql() -> dict[str, str]:
