@@ -87,11 +87,12 @@ STORE = "sha binary, n_bytes long, payload_bytes long, key long, digests binary,
 
 
 def write_store(docs: DataFrame, stages: Stages, id_col: str, text_col: str) -> DataFrame:
-    """One row a document: id, digest and sizes of its payload; where its task has not had that payload: key, list, block."""
+    """One row a document: id, digest and sizes of its payload, key of the pack that holds it; and that pack, in the row of
+    the first document of its task that has the payload: list and block."""
     names = ["id", *(c.split()[0] for c in STORE.split(", "))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, payloads, chunks = TaskContext.get().partitionId() << 33, set(), set()
+        key, payloads, chunks = TaskContext.get().partitionId() << 33, {}, set()
         squeeze = zstandard.ZstdCompressor(level=3)
         for b in slices(batches):
             texts = [(t or "").encode() for t in b.column("text").to_pylist()]
@@ -102,7 +103,7 @@ def write_store(docs: DataFrame, stages: Stages, id_col: str, text_col: str) ->
             for text, payload in zip(texts, data, strict=True):
                 end, sha = begin + len(payload), hashlib.sha256(payload).digest()
                 if sha in payloads:
-                    rows.append((sha, len(text), len(payload), None, None, None, None, None))
+                    rows.append((sha, len(text), len(payload), payloads[sha], None, None, None, None))
                 else:
                     at = [begin, *cuts(candidates, begin, end)]
                     parts = [payload[x - begin : y - begin] for x, y in zip(at, at[1:], strict=False)]
@@ -113,10 +114,10 @@ def write_store(docs: DataFrame, stages: Stages, id_col: str, text_col: str) ->
                         chunks.add(d)
                     block = squeeze.compress(b"".join(p for p, n in zip(parts, new, strict=True) if n))
                     rows.append((sha, len(text), len(payload), key, b"".join(digests), np.diff(at).astype("<u4").tobytes(), bytes(new), block))
+                    payloads[sha] = key
                     key += 1
-                    payloads.add(sha)
                     if len(chunks) + len(payloads) > SEEN:
-                        chunks, payloads = set(), set()
+                        chunks, payloads = set(), {}
                 begin = end
             kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), *[pa.binary()] * 4]
             yield pa.RecordBatch.from_arrays([b.column("id"), *(pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True))], names)
@@ -157,22 +158,23 @@ def opened(row: dict) -> dict[int, bytes]:
 
 
 HEAD = ["sha", "payload_bytes", "digests", "sizes", "here", "block"]
-RESULT = ["sha", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
-RESULT_TYPE = "sha binary, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+RESULT = ["key", "read_sha", "tail_crc32", "media_bytes", "media_sha", "feature"]
+RESULT_TYPE = "key long, read_sha binary, tail_crc32 long, media_bytes long, media_sha binary, feature string"
 
 
 def measured(row: dict, chunks: dict[int, bytes]) -> tuple:
     """The result row of a payload put together from the chunks of its list."""
     parts = [chunks[i] for i in range(len(row["sizes"]) // 4)]
-    payload, sha = b"".join(parts), row["sha"]
-    if hashlib.sha256(payload).digest() != sha or len(payload) != row["payload_bytes"]:
+    payload = b"".join(parts)
+    sha = hashlib.sha256(payload).digest()
+    if sha != row["sha"] or len(payload) != row["payload_bytes"]:
         raise ValueError("a payload read back does not match its digest")
     form = medium(len(payload), row["sizes"], row["digests"])
-    return sha, sha.hex(), zlib.crc32(payload[-32:]), len(form), hashlib.sha256(form).hexdigest(), feature(payload, len(parts))
+    return row["key"], sha, zlib.crc32(payload[-32:]), len(form), hashlib.sha256(form).digest(), feature(payload, len(parts))
 
 
 def results(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.binary(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+    kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.string()]
     columns = zip(*rows, strict=True) if rows else [[]] * len(kinds)
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], RESULT)
 
@@ -187,7 +189,7 @@ def store_and_read(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     bounded_batches(docs.sparkSession)
     stages = Stages(docs.sparkSession, "media")
     store = write_store(docs, stages, id_col, text_col)
-    packs = store.where(F.col("key").isNotNull())
+    packs = store.where(F.col("digests").isNotNull())
     entries = packs.select("key", "digests", "here").mapInArrow(list_rows, "digest binary, key long, idx int, here boolean")
     places = stages.put(entries.where("here").groupBy("digest").agg(F.min("key").alias("owner")))
     foreign = stages.put(entries.join(places, "digest").where("owner <> key").select("key", "idx", "digest", "owner"))
@@ -199,6 +201,7 @@ def store_and_read(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield results([measured(r, opened(r)) for r in rows])
 
     def lent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=3)
         for b in slices(batches, "block"):
             found = []
             for r in b.to_pylist():
@@ -207,7 +210,7 @@ def store_and_read(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 wanted = np.flatnonzero(passes(slots, lent_bits) & (np.frombuffer(r["here"], np.uint8) > 0))
                 if len(wanted):
                     chunks = opened(r)
-                    found += [(digests[i], r["key"], chunks[i]) for i in wanted.tolist()]
+                    found += [(digests[i], r["key"], squeeze.compress(chunks[i])) for i in wanted.tolist()]
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], t) for k, t in enumerate((pa.binary(), pa.int64(), pa.binary()))], ["digest", "owner", "chunk"])
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,10 +219,11 @@ def store_and_read(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield b.filter(pa.array(passes(b.column("slot").to_numpy(), borrowers))).select(["key", *HEAD])
 
     def rebuilt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        loosen = zstandard.ZstdDecompressor()
         for b in batches:
             rows = []
             for r in b.to_pylist():
-                chunks, digests = {c["idx"]: c["chunk"] for c in r["chunks"]}, listed(r["digests"])
+                chunks, digests = {c["idx"]: loosen.decompress(c["chunk"]) for c in r["chunks"]}, listed(r["digests"])
                 if any(digest_of(c) != digests[i] for i, c in chunks.items()):
                     raise ValueError("a chunk read back does not match its digest")
                 rows.append(measured(r, opened(r) | chunks))
@@ -231,5 +235,7 @@ def store_and_read(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     borrowed = foreign.join(packs.mapInArrow(lent, "digest binary, owner long, chunk binary"), ["digest", "owner"]).select("key", F.struct("idx", "chunk").alias("c"))
     both = mine.withColumn("c", F.lit(None).cast(borrowed.schema["c"].dataType)).unionByName(borrowed, allowMissingColumns=True)
     gathered = both.groupBy("key").agg(F.collect_list("c").alias("chunks"), *(F.first(h, ignorenulls=True).alias(h) for h in HEAD))
-    read = stages.put(local.unionByName(gathered.mapInArrow(rebuilt, RESULT_TYPE)).dropDuplicates(["sha"]))
-    return store.select(F.col("id").alias(id_col), "n_bytes", "payload_bytes", "sha").join(read, "sha").drop("sha")
+    read = stages.put(local.unionByName(gathered.mapInArrow(rebuilt, RESULT_TYPE)))
+    hexed = lambda c: F.lower(F.hex(c))
+    out = store.select(F.col("id").alias(id_col), "n_bytes", "payload_bytes", "key").join(read, "key")
+    return out.select(id_col, "n_bytes", "payload_bytes", hexed("read_sha").alias("payload_sha256"), "tail_crc32", "media_bytes", hexed("media_sha").alias("media_sha256"), "feature")
