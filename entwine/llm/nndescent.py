@@ -1,9 +1,10 @@
 """Approximate nearest neighbours by NN-descent and greedy graph search (operator 8).
 
 Index. Equal vectors are one node. PIVOTS nodes, a bounded sample, give a first graph: every node is compared within the
-blocks (at most BLOCK nodes) of its two nearest pivots. Then rounds of NN-descent: the neighbours of each node, in either
+blocks (about BLOCK nodes) of its SPREAD nearest pivots. Then rounds of NN-descent: the neighbours of each node, in either
 direction, are joined to their vectors and compared with each other; a node keeps the DEGREE nearest it has seen. Only
-nodes with a new neighbour are joined again, and rounds end when few neighbours change. All nodes are in the graph.
+nodes with a new neighbour are joined again, and rounds end when few neighbours change. All nodes are in the graph. The
+graph is built on half-precision copies of the vectors, scaled to the largest component; the search uses the originals.
 
 Search. A query starts at its BEAM nearest pivots. Each hop joins its WIDE nearest nodes that have not been expanded to
 their neighbours, either direction, and these to their vectors; the BEAM nearest stay. Hops end when all of a query's
@@ -27,11 +28,11 @@ from pyspark.sql.window import Window
 
 from .batches import Stages
 
-PIVOTS, BLOCK = 512, 256
-DEGREE, REVERSE = 16, 16
-OFFERS = 6  # candidates that a comparison of neighbours offers to each of them
-ROUNDS, CHANGED = 10, 0.02
-BEAM, WIDE, HOPS = 48, 12, 40
+PIVOTS, BLOCK, SPREAD = 512, 512, 4
+DEGREE, JOINED, REVERSE = 32, 16, 32  # neighbours kept; other direction, in rounds and in search
+OFFERS = 4  # candidates that a comparison of neighbours offers to each of them
+ROUNDS, CHANGED = 8, 0.25
+BEAM, WIDE, HOPS = 256, 64, 40
 
 
 def matrix(column: pa.Array) -> np.ndarray:
@@ -58,12 +59,18 @@ def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         yield held
 
 
+def halves(column: pa.Array) -> np.ndarray:
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return np.frombuffer(b"".join(column.to_pylist()), "<f2").reshape(len(column), -1).astype(np.float32)
+
+
 def compared(key: str, most: int):
-    """For rows (key, node, v) sorted by key: each node's `most` nearest of its run. -> u, v, d (squared distance)."""
+    """For rows (key, node, h, radius) sorted by key: each node's `most` nearest of its run, where nearer than its radius.
+    -> u, v, d (squared distance)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in runs(batches, key):
-            k, node, x = t.column(key).to_numpy(), t.column("node").to_numpy(), matrix(t.column("v"))
+            k, node, x, radius = t.column(key).to_numpy(), t.column("node").to_numpy(), halves(t.column("h")), t.column("radius").to_numpy()
             edges = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1], [True]]))
             us, vs, ds = [], [], []
             for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
@@ -73,11 +80,13 @@ def compared(key: str, most: int):
                 np.fill_diagonal(d, np.inf)
                 n = min(most, b - a - 1)
                 near = np.argpartition(d, n - 1, axis=1)[:, :n]
-                us.append(np.repeat(node[a:b], n))
-                vs.append(node[a:b][near].ravel())
-                ds.append(np.take_along_axis(d, near, axis=1).ravel())
+                d = np.take_along_axis(d, near, axis=1)
+                good = d < radius[a:b, None]
+                us.append(np.repeat(node[a:b], n)[good.ravel()])
+                vs.append(node[a:b][near][good])
+                ds.append(d[good])
             if us:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (us, vs, ds)], ["u", "v", "d"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (us, vs)] + [pa.array(np.concatenate(ds).astype(np.float64))], ["u", "v", "d"])
 
     return work
 
@@ -97,28 +106,39 @@ def valid(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return kept.groupBy("id").agg(F.min("x").alias("x"))
 
 
-def both_ways(graph: DataFrame) -> DataFrame:
-    """(a, b): neighbours of a node, and at most REVERSE nodes that it is a neighbour of, the nearest."""
+def both_ways(graph: DataFrame, most: int) -> DataFrame:
+    """(a, b): neighbours of a node, and at most `most` nodes that it is a neighbour of, the nearest."""
     rank = F.row_number().over(Window.partitionBy("v").orderBy("d", "u"))
-    back = graph.withColumn("r", rank).where(F.col("r") <= REVERSE).select(F.col("v").alias("a"), F.col("u").alias("b"))
+    back = graph.withColumn("r", rank).where(F.col("r") <= most).select(F.col("v").alias("a"), F.col("u").alias("b"))
     return graph.select(F.col("u").alias("a"), F.col("v").alias("b")).unionByName(back).distinct()
 
 
+def scaled(nodes: DataFrame, largest: float) -> DataFrame:
+    """Adds h: the vector by its largest component, in half precision."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            h = (matrix(b.column("v")) / largest).astype("<f2")
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([r.tobytes() for r in h], pa.binary())], ["node", "v", "h"])
+
+    return nodes.mapInArrow(work, "node long, v array<float>, h binary")
+
+
 def first_graph(nodes: DataFrame, pivots: np.ndarray, stages: Stages) -> DataFrame:
-    """u, v, d: nearest of each node within blocks of its two nearest pivots."""
+    """u, v, d: nearest of each node within blocks of its nearest pivots."""
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             d = squared(matrix(b.column("v")), pivots)
-            two = np.argsort(d, axis=1, kind="stable")[:, :2]
-            for k in range(two.shape[1]):
-                yield pa.RecordBatch.from_arrays([pa.array(two[:, k].astype(np.int64)), b.column("node"), b.column("v")], ["pivot", "node", "v"])
+            near = np.argsort(d, axis=1, kind="stable")[:, :SPREAD]
+            for k in range(near.shape[1]):
+                yield pa.RecordBatch.from_arrays([pa.array(near[:, k].astype(np.int64)), b.column("node"), b.column("h")], ["pivot", "node", "h"])
 
-    near = stages.put(nodes.mapInArrow(assign, "pivot long, node long, v array<float>"))
+    near = stages.put(nodes.mapInArrow(assign, "pivot long, node long, h binary"))
     sizes = {r["pivot"]: r["count"] for r in near.groupBy("pivot").count().collect()}  # at most PIVOTS numbers
     parts = F.create_map([F.lit(x) for p, n in sorted(sizes.items()) for x in (p, -(-n // BLOCK))])[F.col("pivot")]
     block = (F.col("pivot") * F.lit(1 << 32) + F.pmod(F.xxhash64("node"), parts)).alias("block")
-    placed = near.select(block, "node", "v").repartition("block").sortWithinPartitions("block")
+    placed = near.select(block, "node", "h", F.lit(float("inf")).alias("radius")).repartition("block").sortWithinPartitions("block")
     out = stages.put(nearest(placed.mapInArrow(compared("block", DEGREE), "u long, v long, d double"), "u", "v", DEGREE).withColumn("new", F.lit(1)))
     stages.drop(near)
     return out
@@ -127,10 +147,13 @@ def first_graph(nodes: DataFrame, pivots: np.ndarray, stages: Stages) -> DataFra
 def descend(nodes: DataFrame, graph: DataFrame, stages: Stages) -> DataFrame:
     """Rounds of NN-descent over graph (u, v, d, new)."""
     for _ in range(ROUNDS):
-        pairs = both_ways(graph)
-        fresh = graph.where("new = 1").select(F.col("u").alias("a")).unionByName(graph.where("new = 1").select(F.col("v").alias("a"))).distinct()
+        pairs = both_ways(graph, JOINED)
+        fresh = graph.where("new = 1").select(F.explode(F.array("u", "v")).alias("a")).distinct()
         lists = pairs.join(fresh, "a", "left_semi")
-        with_vectors = lists.join(nodes, lists["b"] == nodes["node"]).select("a", "node", "v")
+        # A node with a full list takes only what is nearer than its last neighbour.
+        last = graph.groupBy("u").agg(F.when(F.count("*") >= DEGREE, F.max("d")).otherwise(float("inf")).alias("radius"))
+        placed = nodes.join(last, F.col("node") == F.col("u"), "left").select("node", "h", F.coalesce("radius", F.lit(float("inf"))).alias("radius"))
+        with_vectors = lists.join(placed, lists["b"] == placed["node"]).select("a", "node", "h", "radius")
         offered = with_vectors.repartition("a").sortWithinPartitions("a").mapInArrow(compared("a", OFFERS), "u long, v long, d double")
         both = graph.select("u", "v", "d", F.lit(0).alias("new")).unionByName(offered.withColumn("new", F.lit(1)))
         after = stages.put(nearest(both, "u", "v", DEGREE, F.min("new").alias("new")))
@@ -142,9 +165,11 @@ def descend(nodes: DataFrame, graph: DataFrame, stages: Stages) -> DataFrame:
     return graph
 
 
-def distance(a: Column, b: Column) -> Column:
-    """Sum of squared differences in double precision."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: (x.cast("double") - y.cast("double")) * (x.cast("double") - y.cast("double"))), F.lit(0.0), lambda s, c: s + c)
+def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(q, node, v, qv) -> (q, node, d): sum of squared differences in double precision."""
+    for b in batches:
+        d = ((matrix(b.column("v")) - matrix(b.column("qv"))) ** 2).sum(axis=1) if b.num_rows else np.zeros(0)
+        yield pa.RecordBatch.from_arrays([b.column("q"), b.column("node"), pa.array(d)], ["q", "node", "d"])
 
 
 def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, pivots: np.ndarray, pivot_ids: np.ndarray, stages: Stages) -> DataFrame:
@@ -153,11 +178,11 @@ def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, pivots: np.nd
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x, q = matrix(b.column("qv")), b.column("q").to_numpy()
-            d = ((x[:, None, :] - pivots[None, :, :]) ** 2).sum(axis=2) if len(x) * pivots.size < 1 << 24 else squared(x, pivots)
+            d = np.stack([((row - pivots) ** 2).sum(axis=1) for row in x]) if len(x) else np.zeros((0, len(pivots)))
             near = np.argsort(d, axis=1, kind="stable")[:, :BEAM]
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(q, near.shape[1])), pa.array(pivot_ids[near].ravel()), pa.array(np.take_along_axis(d, near, axis=1).ravel()), pa.array(np.zeros(near.size, np.int32))], ["q", "node", "d", "expanded"])
 
-    links = stages.put(both_ways(graph))
+    links = stages.put(both_ways(graph, REVERSE))
     beam = stages.put(queries.mapInArrow(enter, "q long, node long, d double, expanded int"))
     for _ in range(HOPS):
         order = F.row_number().over(Window.partitionBy("q").orderBy("expanded", "d", "node"))
@@ -165,9 +190,10 @@ def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, pivots: np.nd
         front = (F.col("expanded") == 0) & (F.col("r") <= WIDE)
         reached = ranked.where(front).join(links, F.col("node") == links["a"]).select("q", F.col("b").alias("node")).distinct()
         unseen = reached.join(beam.select("q", "node"), ["q", "node"], "left_anti")
-        measured = unseen.join(nodes, "node").join(queries, "q").select("q", "node", distance(F.col("v"), F.col("qv")).alias("d"), F.lit(0).alias("expanded"))
+        pairs = unseen.join(nodes, "node").join(queries, "q").select("q", "node", "v", "qv")
+        found = pairs.mapInArrow(measured, "q long, node long, d double").withColumn("expanded", F.lit(0))
         held = ranked.select("q", "node", "d", F.when(front, 1).otherwise(F.col("expanded")).alias("expanded"))
-        after = stages.put(nearest(held.unionByName(measured), "q", "node", BEAM, F.max("expanded").alias("expanded")))
+        after = stages.put(nearest(held.unionByName(found), "q", "node", BEAM, F.max("expanded").alias("expanded")))
         stages.drop(beam)
         beam = after
         if beam.where("expanded = 0").limit(1).count() == 0:
@@ -181,12 +207,15 @@ def neighbours(vectors: DataFrame, queries: Column, k: int = 10, id_col: str = "
     spark = vectors.sparkSession
     stages = Stages(spark, "nndescent")
     rows = stages.put(valid(vectors, id_col, vector_col))
-    nodes = stages.put(rows.groupBy("x").agg(F.min("id").alias("node")).select("node", F.col("x").alias("v")))
-    picked = nodes.orderBy(F.xxhash64("node"), "node").limit(PIVOTS).collect()  # bounded
+    largest = rows.select(F.max(F.array_max(F.transform("x", F.abs)))).first()[0]
+    distinct = rows.groupBy("x").agg(F.min("id").alias("node")).select("node", F.col("x").alias("v"))
+    nodes = stages.put(scaled(distinct, largest or 1.0))
+    picked = nodes.select("node", "v").orderBy(F.xxhash64("node"), "node").limit(PIVOTS).collect()  # bounded
     if not picked:
         return rows.select(F.col("id").alias("query_id"), F.lit(0).alias("rank"), F.col("id").alias("vec_id"), F.lit(0.0).alias("score")).limit(0)
     pivots, pivot_ids = np.array([r["v"] for r in picked], np.float64), np.array([r["node"] for r in picked])
     graph = descend(nodes, first_graph(nodes, pivots, stages), stages)
+    nodes = nodes.select("node", "v")
     asked = stages.put(rows.where(queries).select(F.col("id").alias("q"), F.col("x").alias("qv")))
     beam = search(asked, nodes, graph, pivots, pivot_ids, stages)
     # A query needs at most k + 1 copies of a node, itself among them.
