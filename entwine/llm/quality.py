@@ -34,7 +34,7 @@ from .training import sample
 DOCS, CHUNKS = 1200, 12
 CHUNK, OVERLAP = 512, 32
 FILTERS, WIDTH, STRIDE, DEPTH = 16, 8, 2, 8
-EPOCHS, BATCH, RATE = 12, 64, 3e-3
+STEPS, BATCH, RATE = 450, 64, 3e-3
 PER_CALL = 256  # chunks whose responses are held at once
 
 
@@ -127,7 +127,8 @@ def fit(rows: list[tuple[int, list[bytes]]], seed: int = 3) -> Model:
     again = [repeats(c) for c in chunks]
     first, second = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
     t = 0
-    for epoch in range(EPOCHS):
+    epochs = -(-STEPS // -(-len(rows) // BATCH))
+    for epoch in range(epochs):
         order = rng.permutation(len(rows))
         for i in range(0, len(order), BATCH):
             part = order[i : i + BATCH]
@@ -152,7 +153,7 @@ def fit(rows: list[tuple[int, list[bytes]]], seed: int = 3) -> Model:
                 for w in range(WIDTH):
                     g["embedding"] += np.bincount(seen[:, w], up[on, f], 256)[:, None] * p["kernel"][w, :, f]
             t += 1
-            rate = RATE * (1 if epoch < EPOCHS * 2 // 3 else 0.3)
+            rate = RATE * (1 if epoch < epochs * 2 // 3 else 0.3)
             for k in p:
                 first[k] = 0.9 * first[k] + 0.1 * g[k]
                 second[k] = 0.99 * second[k] + 0.01 * g[k] ** 2
