@@ -193,6 +193,8 @@ def fit(rows: list[tuple[str, list[str]]], seed: int = 5) -> Model:
     """Maximises the conditional likelihood of the labels by AdaGrad steps. rows: (label, windows) of each text."""
     labels = sorted({label for label, _ in rows})
     k = len(labels)
+    if not k:
+        return Model([], np.zeros((1, 0), np.float32), np.zeros(0, np.uint64), np.zeros((1, 0), np.float32), np.ones((0, 0)), np.ones(0))
     number = {label: i for i, label in enumerate(labels)}
     todo = sequences([(number[label], found) for label, found in rows], seed)
     table, move, start = np.zeros(((1 << TABLE_BITS) + 1, k), np.float32), np.zeros((k, k)), np.zeros(k)
@@ -277,7 +279,7 @@ def pair_counts(score: np.ndarray, first: np.ndarray, move: np.ndarray, start: n
 
 def train(docs: DataFrame, id_col: str, text_col: str, label_col: str) -> Model:
     """From at most DOCS texts of each label, of which at most WINDOWS * WINDOW words are taken."""
-    rows = docs.select(docs[id_col].cast("string").alias("id"), docs[text_col].cast("string").alias("text"), docs[label_col].cast("string").alias("label")).where("label is not null and text is not null")
+    rows = docs.select(docs[id_col].cast("string").alias("id"), docs[text_col].cast("string").alias("text"), docs[label_col].cast("string").alias("label")).where("id is not null and label is not null and text is not null")
     picked = sample(rows.select("id", "label"), "label", "id", DOCS)
     wanted = {(r["id"], r["label"]) for r in picked.collect()}  # at most 64 * DOCS
 
