@@ -81,7 +81,7 @@ def test_metrics(spark):
     scored = spark.createDataFrame([("a", "x", 0.9), ("a", "y", 0.9), ("a", "z", 0.9), ("c", "x", 0.9), ("d", "q", 0.1)], "s1_id string, cand_id string, prob double")
     out = {r["s1_id"]: r["f05"] for r in M.per_entity(s1, scored, truth, [0.5]).collect()}
     assert round(out["a"], 3) == 0.714 and (out["b"], out["c"], out["d"]) == (1, 0, 0)
-    assert M.best(M.sweep(M.per_entity(s1, scored, truth, [0.5, 0.95]))).first()["threshold"] == 0.5
+    assert M.best(M.sweep(M.per_entity(s1, scored, truth, [0.5, 0.95]))).first()["threshold"] == 0.95
 
 
 def test_sampling(spark):
