@@ -29,7 +29,7 @@ from .language import folded
 from .shingles import min_max, mixed, shingle_sets, word_hashes, words
 from .training import sample
 
-DOCS, TEXT_BYTES = 2500, 40_000
+DOCS, TEXT_BYTES = 2500, 24_000
 PREFIXES = (4, 5, 6, 7)
 VOTERS, TERMS = 400, 300
 RATIO, EVIDENCE = 8.0, 20.0  # EVIDENCE: twice the log likelihood ratio against equal frequency
