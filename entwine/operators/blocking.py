@@ -82,6 +82,10 @@ def offline_keys() -> list[Key]:
     ]
 
 
+GROUP_OF = {
+    "exact_norm": "exact", "exact_compact": "exact", "nosuff": "exact", "nosuff_compact": "exact", "translit": "translit", "translit_nosuff": "translit", "translit_compact": "translit",
+    "postal_prefix": "postal", "postal_token": "postal", "postal_house": "house", "house_prefix": "house", "house": "house", "addr_token": "address", "consonant_skel": "consonant_skel", "addr_name": "addr_name",
+}
 DEFAULT_GROUPS = ("exact", "postal", "house", "translit", "address")
 EXTENDED_GROUPS = (*DEFAULT_GROUPS, "consonant_skel", "addr_name")
 #: Rule sets of the blocking study, each with the ones before it.

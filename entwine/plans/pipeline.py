@@ -1,11 +1,12 @@
 """The whole run as one lazy plan: prepare, block, quota, features, score, lists. Only prepared records and candidate
-pairs are materialised, as tables, where a work folder is given."""
+pairs are materialised: as tables where a work folder is given, else as cached blocks that may spill to disk."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,7 +41,7 @@ class Pipeline:
 
     def _kept(self, df: DataFrame, name: str) -> DataFrame:
         if not self.config.work:
-            return df
+            return df.persist(StorageLevel.MEMORY_AND_DISK)
         path = f"{self.config.work}/{name}"
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)

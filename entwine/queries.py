@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -44,7 +45,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = F.split(F.trim("text"), r"\s+")
+    w = F.split(F.trim("text"), r"\s+", 10)  # nine words and the rest
     source = F.when(F.col("doc_id") % 3 == 0, "S1-").when(F.col("doc_id") % 3 == 1, "S2-").otherwise("S3-")
     code = F.lpad((F.col("n_chars") % 900 + 10000).cast("string"), 5, "0")
     return table(spark, sf_dir, "documents").select(
@@ -56,15 +57,21 @@ def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 class Case:
     """Prepared records, true links and candidate pairs of a table folder."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, kept: bool = True):
         self.ev = entities(spark, sf_dir)
-        self.ready = prepare(self.ev)
+        # Materialised once: every rule, both sides of the pairs and the features read it.
+        # Dealt out first: the few splits of a small table would leave the regular expressions to one or two tasks.
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.ready = prepare(self.ev.repartition(parts, "entity_id"))
+        if kept:
+            self.ready = self.ready.persist(StorageLevel.MEMORY_AND_DISK)
         self.s1, self.targets = self.ready.where("source = 'S1'"), self.ready.where("source <> 'S1'")
         side = lambda p, name: self.ev.where(p).select(F.col("entity_id").alias(name), "digest", "country")
         self.truth = side("entity_id like 'S1-%'", "s1_id").join(side("entity_id not like 'S1-%'", "cand_id"), ["digest", "country"]).select("s1_id", "cand_id")
 
     def pairs(self, groups=B.DEFAULT_GROUPS) -> DataFrame:
-        return B.with_evidence(B.block(self.s1, self.targets, groups))
+        """Read several times by the features (pairs, and the ids of either side)."""
+        return B.with_evidence(B.block(self.s1, self.targets, groups)).persist(StorageLevel.MEMORY_AND_DISK)
 
     def light(self) -> DataFrame:
         """Pairs with both prepared records, the plain score and the label."""
@@ -122,8 +129,7 @@ def token_frequencies(spark, sf_dir):
 def _block(rule: str):
     def run(spark, sf_dir):
         c = Case(spark, sf_dir)
-        group = next(k.group for k in B.offline_keys() if k.name == rule)
-        return B.block(c.s1, c.targets, (group,)).where(F.col("rule") == rule).select("s1_id", "cand_id")
+        return B.block(c.s1, c.targets, (B.GROUP_OF[rule],)).where(F.col("rule") == rule).select("s1_id", "cand_id")
 
     run.__name__ = f"block_{rule}"
     query(f"with {Q.BLOCK} select s1_id, cand_id from pairs where rule = '{rule}'")(run)
@@ -159,8 +165,7 @@ def recall_by_country(spark, sf_dir):
 
 
 def _ablation_sql() -> str:
-    groups = {k.name: k.group for k in B.offline_keys()}
-    parts = []
+    groups, parts = B.GROUP_OF, []
     for name, chosen in B.ABLATION.items():
         rules = ", ".join(f"'{r}'" for r, g in groups.items() if g in chosen)
         parts.append(f"select '{name}' as config, count(*) as pairs, count(t.cand_id) as found from (select distinct s1_id, cand_id from pairs where rule in ({rules})) p left join (select distinct * from truth) t using (s1_id, cand_id)")
@@ -171,7 +176,7 @@ def _ablation_sql() -> str:
 def blocking_ablation(spark, sf_dir):
     """All rule sets from one join: a pair is in a set if any of its rules is."""
     c = Case(spark, sf_dir)
-    group = F.create_map([x for k in B.offline_keys() for x in (F.lit(k.name), F.lit(k.group))])
+    group = F.create_map([F.lit(x) for kv in B.GROUP_OF.items() for x in kv])
     sets = F.create_map([x for n, g in B.ABLATION.items() for x in (F.lit(n), F.array(*map(F.lit, g)))])
     rows = B.block(c.s1, c.targets, B.EXTENDED_GROUPS).withColumn("group", group[F.col("rule")])
     inside = rows.select("s1_id", "cand_id", "group", F.explode(F.array(*map(F.lit, B.ABLATION))).alias("config")).where(F.array_contains(sets[F.col("config")], F.col("group")))
@@ -191,7 +196,7 @@ u as (select w.side, w.id, country, gram, w / norm as w from w join (select side
 sims as (select a.id as s1_id, b.id as cand_id, round(sum(a.w * b.w), 6) as sim from u a join u b on a.country = b.country and a.gram = b.gram where a.side = 's' and b.side = 't' group by all)
 select s1_id, cand_id, sim from (select *, row_number() over (partition by s1_id order by sim desc, cand_id) as r from sims) where r <= 10 and sim >= 0.4""")
 def ngram_knn(spark, sf_dir):
-    c = Case(spark, sf_dir)
+    c = Case(spark, sf_dir, kept=False)  # two narrow columns are read; a cached copy measured slower
     return B.ngram_neighbours(c.s1, c.targets)
 
 
