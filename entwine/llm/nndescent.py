@@ -3,8 +3,8 @@
 Index. Equal vectors are one node. PIVOTS nodes, a bounded sample, give a first graph: every node is compared within the
 blocks (about BLOCK nodes) of its SPREAD nearest pivots. Then rounds of NN-descent: the neighbours of each node, in either
 direction, are joined to their vectors and compared with each other; a node keeps the DEGREE nearest it has seen. Only
-nodes with a new neighbour are joined again, and rounds end when few neighbours change. All nodes are in the graph. The
-graph is built on half-precision copies of the vectors, scaled to the largest component; the search uses the originals.
+nodes with a new neighbour are joined again, and rounds end when few neighbours change. All nodes are in the graph.
+Distances in it are those of the original vectors, kept edges by differences in double precision.
 
 Search. A query starts at its BEAM nearest pivots. Each hop joins its WIDE nearest nodes that have not been expanded to
 their neighbours, either direction, and these to their vectors; the BEAM nearest stay. Hops end when all of a query's
@@ -59,28 +59,30 @@ def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         yield held
 
 
-def halves(column: pa.Array) -> np.ndarray:
-    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return np.frombuffer(b"".join(column.to_pylist()), "<f2").reshape(len(column), -1).astype(np.float32)
+def centred(x: np.ndarray) -> np.ndarray:
+    """By the row of median length: products of close rows keep their digits, and a far row doesn't cost the others theirs."""
+    return x - x[np.argpartition((x**2).sum(axis=1), len(x) // 2)[len(x) // 2]]
 
 
 def compared(key: str, most: int):
-    """For rows (key, node, h, radius) sorted by key: each node's `most` nearest of its run, where nearer than its radius.
+    """For rows (key, node, v, radius) sorted by key: each node's `most` nearest of its run, where nearer than its radius.
     -> u, v, d (squared distance)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in runs(batches, key):
-            k, node, x, radius = t.column(key).to_numpy(), t.column("node").to_numpy(), halves(t.column("h")), t.column("radius").to_numpy()
+            k, node, x, radius = t.column(key).to_numpy(), t.column("node").to_numpy(), matrix(t.column("v")), t.column("radius").to_numpy()
             edges = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1], [True]]))
             us, vs, ds = [], [], []
             for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                 if b - a < 2:
                     continue
-                d = squared(x[a:b], x[a:b])
+                own = x[a:b]
+                c = centred(own)
+                d = squared(c, c)
                 np.fill_diagonal(d, np.inf)
                 n = min(most, b - a - 1)
                 near = np.argpartition(d, n - 1, axis=1)[:, :n]
-                d = np.take_along_axis(d, near, axis=1)
+                d = np.stack([((own - own[k]) ** 2).sum(axis=1) for k in near.T], axis=1)
                 good = d < radius[a:b, None]
                 us.append(np.repeat(node[a:b], n)[good.ravel()])
                 vs.append(node[a:b][near][good])
@@ -113,17 +115,6 @@ def both_ways(graph: DataFrame, most: int) -> DataFrame:
     return graph.select(F.col("u").alias("a"), F.col("v").alias("b")).unionByName(back).distinct()
 
 
-def scaled(nodes: DataFrame, largest: float) -> DataFrame:
-    """Adds h: the vector by its largest component, in half precision."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            h = (matrix(b.column("v")) / largest).astype("<f2")
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([r.tobytes() for r in h], pa.binary())], ["node", "v", "h"])
-
-    return nodes.mapInArrow(work, "node long, v array<float>, h binary")
-
-
 def first_graph(nodes: DataFrame, pivots: np.ndarray, stages: Stages) -> DataFrame:
     """u, v, d: nearest of each node within blocks of its nearest pivots."""
 
@@ -132,13 +123,13 @@ def first_graph(nodes: DataFrame, pivots: np.ndarray, stages: Stages) -> DataFra
             d = squared(matrix(b.column("v")), pivots)
             near = np.argsort(d, axis=1, kind="stable")[:, :SPREAD]
             for k in range(near.shape[1]):
-                yield pa.RecordBatch.from_arrays([pa.array(near[:, k].astype(np.int64)), b.column("node"), b.column("h")], ["pivot", "node", "h"])
+                yield pa.RecordBatch.from_arrays([pa.array(near[:, k].astype(np.int64)), b.column("node")], ["pivot", "node"])
 
-    near = stages.put(nodes.mapInArrow(assign, "pivot long, node long, h binary"))
+    near = stages.put(nodes.mapInArrow(assign, "pivot long, node long"))
     sizes = {r["pivot"]: r["count"] for r in near.groupBy("pivot").count().collect()}  # at most PIVOTS numbers
     parts = F.create_map([F.lit(x) for p, n in sorted(sizes.items()) for x in (p, -(-n // BLOCK))])[F.col("pivot")]
     block = (F.col("pivot") * F.lit(1 << 32) + F.pmod(F.xxhash64("node"), parts)).alias("block")
-    placed = near.select(block, "node", "h", F.lit(float("inf")).alias("radius")).repartition("block").sortWithinPartitions("block")
+    placed = near.select(block, "node").join(nodes, "node").select("block", "node", "v", F.lit(float("inf")).alias("radius")).repartition("block").sortWithinPartitions("block")
     out = stages.put(nearest(placed.mapInArrow(compared("block", DEGREE), "u long, v long, d double"), "u", "v", DEGREE).withColumn("new", F.lit(1)))
     stages.drop(near)
     return out
@@ -152,8 +143,8 @@ def descend(nodes: DataFrame, graph: DataFrame, stages: Stages) -> DataFrame:
         lists = pairs.join(fresh, "a", "left_semi")
         # A node with a full list takes only what is nearer than its last neighbour.
         last = graph.groupBy("u").agg(F.when(F.count("*") >= DEGREE, F.max("d")).otherwise(float("inf")).alias("radius"))
-        placed = nodes.join(last, F.col("node") == F.col("u"), "left").select("node", "h", F.coalesce("radius", F.lit(float("inf"))).alias("radius"))
-        with_vectors = lists.join(placed, lists["b"] == placed["node"]).select("a", "node", "h", "radius")
+        placed = nodes.join(last, F.col("node") == F.col("u"), "left").select("node", "v", F.coalesce("radius", F.lit(float("inf"))).alias("radius"))
+        with_vectors = lists.join(placed, lists["b"] == placed["node"]).select("a", "node", "v", "radius")
         offered = with_vectors.repartition("a").sortWithinPartitions("a").mapInArrow(compared("a", OFFERS), "u long, v long, d double")
         both = graph.select("u", "v", "d", F.lit(0).alias("new")).unionByName(offered.withColumn("new", F.lit(1)))
         after = stages.put(nearest(both, "u", "v", DEGREE, F.min("new").alias("new")))
@@ -207,15 +198,12 @@ def neighbours(vectors: DataFrame, queries: Column, k: int = 10, id_col: str = "
     spark = vectors.sparkSession
     stages = Stages(spark, "nndescent")
     rows = stages.put(valid(vectors, id_col, vector_col))
-    largest = rows.select(F.max(F.array_max(F.transform("x", F.abs)))).first()[0]
-    distinct = rows.groupBy("x").agg(F.min("id").alias("node")).select("node", F.col("x").alias("v"))
-    nodes = stages.put(scaled(distinct, largest or 1.0))
-    picked = nodes.select("node", "v").orderBy(F.xxhash64("node"), "node").limit(PIVOTS).collect()  # bounded
+    nodes = stages.put(rows.groupBy("x").agg(F.min("id").alias("node")).select("node", F.col("x").alias("v")))
+    picked = nodes.orderBy(F.xxhash64("node"), "node").limit(PIVOTS).collect()  # bounded
     if not picked:
         return rows.select(F.col("id").alias("query_id"), F.lit(0).alias("rank"), F.col("id").alias("vec_id"), F.lit(0.0).alias("score")).limit(0)
     pivots, pivot_ids = np.array([r["v"] for r in picked], np.float64), np.array([r["node"] for r in picked])
     graph = descend(nodes, first_graph(nodes, pivots, stages), stages)
-    nodes = nodes.select("node", "v")
     asked = stages.put(rows.where(queries).select(F.col("id").alias("q"), F.col("x").alias("qv")))
     beam = search(asked, nodes, graph, pivots, pivot_ids, stages)
     # A query needs at most k + 1 copies of a node, itself among them.

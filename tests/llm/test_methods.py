@@ -291,6 +291,29 @@ def test_neighbours_recall(spark):
     assert hit >= 0.9 * 10 * 40
 
 
+def recall(spark, x, asked):
+    """Share of the ten nearest distances that are met, among the rows asked for."""
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>").repartition(4)
+    out = nndescent.neighbours(table, F.col("id").isin([int(i) for i in asked])).toPandas()
+    d, hit = x.astype(float), 0
+    for q in asked:
+        dist = ((d - d[q]) ** 2).sum(axis=1)
+        dist[q] = np.inf
+        want = np.lexsort((np.arange(len(d)), dist))[:10]
+        hit += len(set(want) & set(out.loc[out["query_id"] == q, "vec_id"]))
+    return hit / (10 * len(asked))
+
+
+def test_neighbours_recall_beside_an_outlier_and_among_near_copies(spark):
+    """One vector 1e8 times larger, and 1,500 that differ by 1e-5 of their length."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(4000, 24)).astype(np.float32)
+    x[:1500] = x[0] * (1 + 1e-5 * rng.normal(size=(1500, 24))).astype(np.float32)
+    x[-1] *= 1e8
+    assert recall(spark, x, range(0, 1500, 50)) >= 0.9
+    assert recall(spark, x, range(1500, 3900, 80)) >= 0.9
+
+
 def test_urls_are_regular_expressions():
     for url in messy(["free", "casino", "win", "-", ".", "/", "a", "A", "FREE", "spam", "http://", "é", "1"], 2000, 9):
         low = url.translate(str.maketrans(url_filter.UPPER, url_filter.LOWER))
