@@ -1,12 +1,12 @@
 """Approximate nearest neighbours by NN-descent and greedy graph search (operator 8).
 
-Index. Equal vectors are one node. PIVOTS nodes, a bounded sample, give a first graph: every node is compared within the
+Index. Equal vectors are one node. A sample of PIVOTS nodes, or the root of their number if that is more, gives a first graph: every node is compared within the
 blocks (about BLOCK nodes) of its SPREAD nearest pivots. Then rounds of NN-descent: the neighbours of each node, in either
 direction, are joined to their vectors and compared with each other; a node keeps the DEGREE nearest it has seen. Only
 nodes with a new neighbour are joined again, and rounds end when few neighbours change. All nodes are in the graph.
 Distances in it are those of the original vectors, kept edges by differences in double precision.
 
-Search. A query starts at its BEAM nearest pivots. Each hop joins its WIDE nearest nodes that have not been expanded to
+Search. A query starts at its own node and its BEAM nearest pivots. Each hop joins its WIDE nearest nodes that have not been expanded to
 their neighbours, either direction, and these to their vectors; the BEAM nearest stay. Hops end when all of a query's
 beam is expanded. Where the table has no more nodes than pivots, the search is exact.
 
@@ -18,6 +18,7 @@ of rows with one id the smallest vector counts; an empty table gives an empty re
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +32,7 @@ from .batches import Stages
 PIVOTS, BLOCK, SPREAD = 512, 512, 4
 DEGREE, JOINED, REVERSE = 32, 16, 32  # neighbours kept; other direction, in rounds and in search
 OFFERS = 4  # candidates that a comparison of neighbours offers to each of them
-ROUNDS, CHANGED = 8, 0.25
+ROUNDS, CHANGED = 40, 0.02
 BEAM, WIDE, HOPS = 256, 64, 40
 
 
@@ -126,10 +127,9 @@ def first_graph(nodes: DataFrame, pivots: np.ndarray, stages: Stages) -> DataFra
                 yield pa.RecordBatch.from_arrays([pa.array(near[:, k].astype(np.int64)), b.column("node")], ["pivot", "node"])
 
     near = stages.put(nodes.mapInArrow(assign, "pivot long, node long"))
-    sizes = {r["pivot"]: r["count"] for r in near.groupBy("pivot").count().collect()}  # at most PIVOTS numbers
-    parts = F.create_map([F.lit(x) for p, n in sorted(sizes.items()) for x in (p, -(-n // BLOCK))])[F.col("pivot")]
-    block = (F.col("pivot") * F.lit(1 << 32) + F.pmod(F.xxhash64("node"), parts)).alias("block")
-    placed = near.select(block, "node").join(nodes, "node").select("block", "node", "v", F.lit(float("inf")).alias("radius")).repartition("block").sortWithinPartitions("block")
+    parts = near.groupBy("pivot").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
+    block = (F.col("pivot") * F.lit(1 << 32) + F.pmod(F.xxhash64("node"), F.col("parts"))).alias("block")
+    placed = near.join(F.broadcast(parts), "pivot").select(block, "node").join(nodes, "node").select("block", "node", "v", F.lit(float("inf")).alias("radius")).repartition("block").sortWithinPartitions("block")
     out = stages.put(nearest(placed.mapInArrow(compared("block", DEGREE), "u long, v long, d double"), "u", "v", DEGREE).withColumn("new", F.lit(1)))
     stages.drop(near)
     return out
@@ -164,7 +164,7 @@ def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, pivots: np.ndarray, pivot_ids: np.ndarray, stages: Stages) -> DataFrame:
-    """queries (q, qv) -> q, node, d: the beam of each query."""
+    """queries (q, qv, own) -> q, node, d: the beam of each query."""
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -174,7 +174,9 @@ def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, pivots: np.nd
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(q, near.shape[1])), pa.array(pivot_ids[near].ravel()), pa.array(np.take_along_axis(d, near, axis=1).ravel()), pa.array(np.zeros(near.size, np.int32))], ["q", "node", "d", "expanded"])
 
     links = stages.put(both_ways(graph, REVERSE))
-    beam = stages.put(queries.mapInArrow(enter, "q long, node long, d double, expanded int"))
+    entries = queries.mapInArrow(enter, "q long, node long, d double, expanded int")
+    own = queries.select("q", F.col("own").alias("node"), F.lit(0.0).alias("d"), F.lit(0).alias("expanded"))
+    beam = stages.put(entries.unionByName(own).dropDuplicates(["q", "node"]))
     for _ in range(HOPS):
         order = F.row_number().over(Window.partitionBy("q").orderBy("expanded", "d", "node"))
         ranked = beam.withColumn("r", order)
@@ -199,12 +201,13 @@ def neighbours(vectors: DataFrame, queries: Column, k: int = 10, id_col: str = "
     stages = Stages(spark, "nndescent")
     rows = stages.put(valid(vectors, id_col, vector_col))
     nodes = stages.put(rows.groupBy("x").agg(F.min("id").alias("node")).select("node", F.col("x").alias("v")))
-    picked = nodes.orderBy(F.xxhash64("node"), "node").limit(PIVOTS).collect()  # bounded
+    picked = nodes.orderBy(F.xxhash64("node"), "node").limit(max(PIVOTS, math.isqrt(nodes.count()))).collect()
     if not picked:
         return rows.select(F.col("id").alias("query_id"), F.lit(0).alias("rank"), F.col("id").alias("vec_id"), F.lit(0.0).alias("score")).limit(0)
     pivots, pivot_ids = np.array([r["v"] for r in picked], np.float64), np.array([r["node"] for r in picked])
     graph = descend(nodes, first_graph(nodes, pivots, stages), stages)
-    asked = stages.put(rows.where(queries).select(F.col("id").alias("q"), F.col("x").alias("qv")))
+    asked = rows.where(queries).select(F.col("id").alias("q"), F.col("x").alias("qv"))
+    asked = stages.put(asked.join(nodes, F.col("qv") == F.col("v")).select("q", "qv", F.col("node").alias("own")))
     beam = search(asked, nodes, graph, pivots, pivot_ids, stages)
     # A query needs at most k + 1 copies of a node, itself among them.
     copy = F.row_number().over(Window.partitionBy("x").orderBy("id"))

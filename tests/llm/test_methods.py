@@ -314,6 +314,14 @@ def test_neighbours_recall_beside_an_outlier_and_among_near_copies(spark):
     assert recall(spark, x, range(1500, 3900, 80)) >= 0.9
 
 
+def test_neighbours_recall_in_groups_without_a_pivot(spark, monkeypatch):
+    """66 separate groups of 60, 16 pivots."""
+    monkeypatch.setattr(nndescent, "PIVOTS", 16)
+    rng = np.random.default_rng(7)
+    x = (np.repeat(rng.normal(size=(66, 24)) * 10, 60, axis=0) + rng.normal(size=(3960, 24))).astype(np.float32)
+    assert recall(spark, x, range(0, 3960, 66)) >= 0.95
+
+
 def test_urls_are_regular_expressions():
     for url in messy(["free", "casino", "win", "-", ".", "/", "a", "A", "FREE", "spam", "http://", "é", "1"], 2000, 9):
         low = url.translate(str.maketrans(url_filter.UPPER, url_filter.LOWER))
