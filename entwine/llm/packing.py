@@ -3,11 +3,11 @@
 1. One pass tokenises the texts and writes, with each document's ids, its place in the queue of its source among the
    rows of its own task. Only counts of tokens by task and source are shuffled; their running totals give every document
    its place in the whole queue.
-2. The driver holds one number for each queue (at most MAX_QUEUES; smaller sources share the last queue). It runs the
-   round-robin over one frame of FRAME windows: each window credits each queue with its share of 2048 tokens, serves the
+2. The driver holds one number for each queue; every source has its own. It runs the
+   round-robin over one frame of FRAME windows (more where sources are many): each window credits each queue with its share of 2048 tokens, serves the
    whole tokens of the credit, gives what is left to the largest deficits and carries the rest to the next window. A
    frame ends without deficits, so it repeats until a queue runs short; then the shares are drawn up anew. The schedule
-   is a few hundred numbers for any size of corpus, and is the same in every partition.
+   grows with the number of sources, not with the corpus, and is the same in every partition.
 3. A second pass over the written ids looks up each document's pieces in the schedule; no ids are shuffled.
 
 Every window is full but the last. Defined results: null text is the empty text, one end token; a null source is a queue
@@ -31,7 +31,6 @@ from pyspark.sql import functions as F
 from .batches import Stages, bounded_batches, running_total, slices
 from .bpe import PATTERN, load_ranks
 
-MAX_QUEUES = 128
 FRAME = 16
 BROADCAST_ROWS = 100_000  # of (task, source) offsets; beyond that they are joined by a shuffle
 SPECIAL = "<|endoftext|>"
@@ -102,7 +101,7 @@ def round_robin(quota: np.ndarray, size: int) -> np.ndarray:
                     left -= 1
         credit -= give * total
         served.append(served[-1] + give)
-    return np.array(served)
+    return np.array(served, np.int32)
 
 
 def shares(left: np.ndarray, target: np.ndarray | None, tokens: int) -> np.ndarray:
@@ -122,10 +121,11 @@ def schedule(totals: list[int], size: int, target: list[float] | None = None) ->
     """Phases that serve all tokens of all queues. Their number is bounded by that of the queues, not by the tokens."""
     left, start, window, out = np.array(totals, np.int64), np.zeros(len(totals), np.int64), 0, []
     goal = None if target is None else np.array(target, float)
+    frame = size * max(FRAME, -(-4 * len(totals) // size))  # tokens; some of each queue
     while left.sum() > 0:
-        quota = shares(left, goal, int(min(size * FRAME, left.sum())))
+        quota = shares(left, goal, int(min(frame, left.sum())))
         used = quota > 0
-        frames = int((left[used] // quota[used]).min()) if quota.sum() == size * FRAME else 1
+        frames = int((left[used] // quota[used]).min()) if quota.sum() == frame else 1
         served = round_robin(quota, size)
         out.append(Phase(window, frames, start.copy(), served))
         start += quota * frames
@@ -194,23 +194,16 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, size: int = 2048, ta
     texts = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"), F.coalesce(docs[source_col].cast("string"), F.lit("\0")).alias("source"))
     told = stages.put(texts.mapInArrow(tokenise, f"id {key}, source string, part int, local long, doc_tokens long, ids binary"))
     by_task = told.groupBy("source", "part").agg(F.sum("doc_tokens").alias("tokens"))
-    own = [r["source"] for r in by_task.groupBy("source").agg(F.sum("tokens").alias("n")).orderBy(F.desc("n"), "source").limit(MAX_QUEUES - 1).collect()]
-    place = {s: i for i, s in enumerate(sorted(own))}
-    # What isn't among the largest sources shares the last queue.
-    queue = F.coalesce(F.create_map([x for s, i in place.items() for x in (F.lit(s), F.lit(i))])[F.col("source")], F.lit(len(place))) if place else F.lit(0)
-    by_task = by_task.withColumn("queue", queue)
-    per_part = by_task.groupBy("queue", "part").agg(F.sum("tokens").alias("all"))
-    based = running_total(per_part, "queue", "part", "all", "base")
-    # Sources that share a queue follow one another within a task.
-    inner = by_task.join(based.select("queue", "part", "base"), ["queue", "part"])
-    rest = F.sum("tokens").over(_before("queue", "part", "source"))
-    bases = stages.put(inner.select("source", "part", "queue", (F.col("base") + F.coalesce(rest, F.lit(0))).alias("base"), "tokens"))
-    sums = {r["queue"]: r["n"] for r in bases.groupBy("queue").agg(F.sum("tokens").alias("n")).collect()}  # MAX_QUEUES rows
-    totals = [sums.get(i, 0) for i in range(len(place) + 1)]
+    own = sorted(r["source"] for r in by_task.select("source").distinct().collect())
+    queues = spark.createDataFrame(list(zip(own, range(len(own)), strict=True)), "source string, queue int")
+    based = running_total(by_task.join(F.broadcast(queues), "source"), "queue", "part", "tokens", "base")
+    bases = stages.put(based.select("source", "part", "queue", "base", "tokens"))
+    sums = {r["queue"]: r["n"] for r in bases.groupBy("queue").agg(F.sum("tokens").alias("n")).collect()}  # a row a source
+    totals = [sums[i] for i in range(len(own))]
     goal = None
     if target is not None:
         named = {("\0" if s is None else s): p for s, p in target.items()}
-        goal = [named.get(s, 0.0) for s in sorted(own)] + [sum(p for s, p in named.items() if s not in place)]
+        goal = [named.get(s, 0.0) for s in own]
     phases = schedule(totals, size, goal)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,10 +228,3 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, size: int = 2048, ta
     placed = told.join((F.broadcast if few else lambda x: x)(bases.select("source", "part", "queue", "base")), ["source", "part"])
     out = placed.select("id", "source", "local", "doc_tokens", "ids", "queue", "base").mapInArrow(cut, f"id {key}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string")
     return out.withColumn("source", F.when(F.col("source") != "\0", F.col("source"))).withColumnRenamed("id", id_col)
-
-
-def _before(*columns: str):
-    from pyspark.sql.window import Window
-
-    *group, order = columns
-    return Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)

@@ -96,6 +96,20 @@ def test_packing_keeps_every_token(spark, files):
     assert (mix.iloc[:-1].sum(axis=1) == 2048).all() and mix.iloc[:-2].std().max() < 5
 
 
+def test_packing_mixes_every_source(spark, files):
+    """300 equal sources: each has its share of every window, and a target for one of them is met."""
+    rows = [(10 * s + k, "word " * 60, f"s{s:03}") for s in range(300) for k in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    out = packing.pack(docs, files("byte_bpe_50k.json"), 1).toPandas()
+    mix = out.groupby(["sequence_id", "source"])["length"].sum().unstack(fill_value=0)
+    full = mix[mix.sum(axis=1) == 2048]
+    assert len(full) > 10 and mix.shape[1] == 300 and (full - 2048 / 300).abs().max().max() <= 2
+    target = {"s299": 0.05} | {f"s{s:03}": 0.95 / 299 for s in range(299)}
+    more = spark.createDataFrame([(5000 + k, "word " * 60, "s299") for k in range(40)], docs.schema)
+    out = packing.pack(docs.unionByName(more), files("byte_bpe_50k.json"), 1, target=target).toPandas()
+    assert abs(out[(out["sequence_id"] == 0) & (out["source"] == "s299")]["length"].sum() - 0.05 * 2048) <= 2
+
+
 def shingle_set(text, width):
     w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate({i: i + 32 for i in range(65, 91)}))
     return frozenset([tuple(w)]) if 0 < len(w) < width else frozenset(tuple(w[i : i + width]) for i in range(len(w) - width + 1))
