@@ -479,11 +479,10 @@ def indel_similarities(spark, sf_dir):
 
 @query()
 def semantic_similarity(spark, sf_dir):
-    from .operators.semantics import Space, semantic_features
+    from .operators.semantics import semantic_features
 
     c = Case(spark, sf_dir)
-    texts = lambda column: c.targets.select(F.col("entity_id").alias("id"), F.col(column).alias("text"))
-    return semantic_features(c.pairs().select("s1_id", "cand_id"), c.s1, c.targets, Space(texts("trans")), Space(texts("address")))
+    return semantic_features(c.pairs().select("s1_id", "cand_id"), c.s1, c.targets)
 
 
 @query()

@@ -1,5 +1,6 @@
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -147,3 +148,18 @@ def test_stream(spark, tmp_path):
     assert [r["cand_id"] for r in spark.read.parquet(f"{tmp_path}/out/pairs").collect()] == ["S2-003"]
     with pytest.raises(ValueError):
         match_stream(Pipeline(spark, Config(threshold=0.1)), s1, R.stream_records(spark, f"{tmp_path}/in"), f"{tmp_path}/out", f"{tmp_path}/ck")
+
+
+def test_semantic_space_counts_every_text(spark):
+    """Three texts among 120,000 are enough for a term; all four similarities are there."""
+    from entwine.operators.semantics import Space, semantic_features
+
+    text = F.when(F.col("id") % 40_000 == 7, "zq").otherwise(F.when(F.col("id") % 3 == 0, "ab").otherwise("cd"))
+    space = Space(spark.range(120_000).select("id", text.alias("text")))
+    assert "zq" in space.place_of and np.isclose(space.idf[space.place_of["zq"]], np.log(120_001 / 4) + 1)
+    rows = [(f"{s}-{i}", w, w, a) for s in ("S1", "S2") for i, (w, a) in enumerate([("red fox", "1 main road"), ("blue cat", "2 mill lane"), ("old dog", "")] * 3)]
+    t = spark.createDataFrame(rows, "entity_id string, norm string, trans string, address string")
+    pairs = spark.createDataFrame([("S1-0", "S2-0"), ("S1-0", "S2-1"), ("S1-2", "S2-2")], "s1_id string, cand_id string")
+    got = {(r["s1_id"], r["cand_id"]): r for r in semantic_features(pairs, t.where("entity_id like 'S1%'"), t.where("entity_id like 'S2%'")).collect()}
+    same, other, bare = got["S1-0", "S2-0"], got["S1-0", "S2-1"], got["S1-2", "S2-2"]
+    assert all(np.isclose(same[c], 1) and other[c] < 0.9 for c in ("sem_name", "sem_trans", "sem_address", "sem_both")) and bare["sem_address"] == 0
