@@ -1,14 +1,23 @@
 """Toxicity by weak supervision (operator 7).
 
-1. Voters. From a bounded sample of labelled texts (DOCS of each label, of at most TEXT_BYTES each): every word, and every
-   word beginning of PREFIXES bytes, that is at least RATIO times as frequent in toxic texts, on clear evidence, votes for
-   toxic where it occurs (at most VOTERS, those with most support) and abstains elsewhere. One voter votes against: that
-   no lexicon voter fires. A few fixed patterns vote as well: shouting, exclamation marks,
-   grawlix, direct address.
-2. Label model. A generative model of the votes given the unseen label: each voter has a rate of firing for either label
-   (its accuracy), fitted by expectation maximisation on the sample without its labels. Voters that correlate
-   beyond what the label explains count once, as nested word beginnings do.
-3. A linear classifier learns the posterior labels from the presence of TERMS words and beginnings, and scores all texts. A text without any of them gets what the offset says.
+1. Lexicon. From a bounded sample of labelled texts (DOCS of each label, whole): every word, and every word beginning of
+   PREFIXES bytes, that is at least RATIO times as frequent among toxic texts, on clear evidence: by occurring, or by being
+   dense, that is, by making at least DENSE of a text's words. A beginning that is dense in several different words of a text
+   needs less evidence, as chance rarely does that. At most CANDIDATES stay, those with the clearest evidence.
+2. Voters. Each lexicon entry votes for toxic where it occurs (or is dense) and abstains elsewhere; entries that fire where
+   a clearer one does are left out, VOTERS stay. One voter says toxic where the whole lexicon is dense; two vote against:
+   where nothing of the lexicon occurs, and where it occurs but is not dense. Fixed patterns vote as well: shouting,
+   exclamation marks, grawlix, direct address.
+3. Label model. A generative model of the votes given the unseen label: each voter has a rate of firing for either label
+   (its accuracy) and may depend on one other voter besides the label, its parent: of the voters that fire more rarely, the
+   one that tells most about it beyond the label (the correlations, with rates for either state of the parent). Rates,
+   parents and the posterior of the label are fitted by expectation maximisation on the sample without its labels.
+   Abstaining says nothing, and no voter counts for the side that it votes against.
+4. A linear classifier learns the posterior labels from TERMS words and beginnings: whether they occur and are dense, and
+   whether all together are. It scores all texts.
+
+The sample's texts stay in executors: passes over them count terms, list votes and add up posteriors. What the driver holds
+is bounded by DOCS, CANDIDATES and TERMS, whatever the length of the texts.
 
 Defined results: null text is the empty text; without training rows of two labels every score is 0; repeated rows give
 repeated rows; extra columns are ignored.
@@ -24,17 +33,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .batches import bounded_batches, slices, utf8
+from .batches import Stages, bounded_batches, slices, utf8
 from .language import folded
 from .shingles import min_max, mixed, shingle_sets, word_hashes, words
 from .training import sample
 
-DOCS, TEXT_BYTES = 2500, 24_000
+DOCS = 2500
 PREFIXES = (4, 5, 6, 7)
-VOTERS, TERMS = 400, 300
-RATIO, EVIDENCE = 8.0, 20.0  # EVIDENCE: twice the log likelihood ratio against equal frequency
-ROUNDS, CORRELATED = 25, 0.3
+CANDIDATES, VOTERS, TERMS = 4000, 400, 300
+RATIO, EVIDENCE, VARIOUS = 24.0, 20.0, 11.0  # evidence: twice the log likelihood ratio against equal frequency; VARIOUS: in several words
+DENSE = 0.01  # share of a text's words
+ROUNDS, AGAIN, LINK = 24, 4, 8.0  # rounds; parents are chosen anew every AGAIN of them; mutual information (nats) of a parent
+UNIT = 1024  # posteriors are added up in this unit, so that sums don't depend on their order
 SHOUTING, MARKS = 0.5, 3  # share of capitals, number of exclamation marks
+SLICE = 1 << 18
 
 # Bytes that are neither ASCII letters nor part of a longer character separate words.
 NO_LETTERS = np.ones(256, bool)
@@ -43,19 +55,20 @@ NO_LETTERS[65:91] = NO_LETTERS[97:123] = NO_LETTERS[128:] = False
 ADDRESS = ("you", "your", "du", "dich", "dein", "ihr", "tu", "toi", "vous", "ton", "tú", "te", "usted", "tus")
 
 
-def terms(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words and of their beginnings, and the text of each."""
+def terms(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all words and of their beginnings; the text and the word (a running number) of each; words of each text."""
     begin, end, count = words(raw, offsets, NO_LETTERS)
     text = np.repeat(np.arange(len(count)), count)
     if not len(begin):
-        return np.zeros(0, np.uint64), text
+        return np.zeros(0, np.uint64), text, text, count
     low = folded(raw)
-    found, of = [word_hashes(low, begin, end)], [text]
+    found, of = [word_hashes(low, begin, end)], [np.arange(len(begin))]
     for n in PREFIXES:
         on = np.flatnonzero(end - begin >= n)
         found.append(mixed(word_hashes(low, begin[on], begin[on] + n) + np.uint64(n)))
-        of.append(text[on])
-    return np.concatenate(found), np.concatenate(of)
+        of.append(on)
+    word = np.concatenate(of)
+    return np.concatenate(found), text[word], word, count
 
 
 def hashed(word: str) -> int:
@@ -63,87 +76,137 @@ def hashed(word: str) -> int:
     return int(word_hashes(folded(raw), np.array([0]), np.array([len(raw)]))[0])
 
 
+ADDRESS_HASHES = np.sort(np.array([hashed(w) for w in ADDRESS], np.uint64))
+
+
+def present(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All terms, each once a text: text, term, whether dense, and whether several different words of the text begin with
+    it and it is dense; sorted by text, then term."""
+    h, text, word, count = terms(raw, offsets)
+    if not len(h):
+        return text, h, np.zeros(0, bool), np.zeros(0, bool)
+    whole = h[: count.sum()][word]  # the words come first
+    order = np.lexsort((whole, h, text))
+    h, text, whole = h[order], text[order], whole[order]
+    new = np.concatenate([[True], (h[1:] != h[:-1]) | (text[1:] != text[:-1])])
+    at = np.flatnonzero(new)
+    dense = np.diff(np.append(at, len(h))) >= DENSE * count[text[at]]
+    other = np.concatenate([[False], whole[1:] != whole[:-1]]) & ~new
+    return text[at], h[at], dense, dense & np.logical_or.reduceat(other, at)
+
+
 def patterns(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """(texts, 3): shouting, exclamation marks, grawlix (two different signs of @#$%&* side by side)."""
+    """(texts, 4): shouting, exclamation marks, grawlix (two different signs of @#$%&* side by side), direct address."""
     total = lambda hit: np.diff(np.concatenate([[0], np.cumsum(hit)])[offsets])
     upper = total((raw >= 65) & (raw <= 90))
     letters = total(~NO_LETTERS[raw])
     sign = np.isin(raw, np.frombuffer(b"@#$%&*", np.uint8))
     swear = np.zeros(len(raw), bool)
     swear[1:] = sign[1:] & sign[:-1] & (raw[1:] != raw[:-1])
-    return np.stack([upper > SHOUTING * np.maximum(letters, 1), total(raw == 33) >= MARKS, total(swear) > 0], axis=1)
+    begin, end, count = words(raw, offsets, NO_LETTERS)
+    address = np.zeros(len(count), bool)
+    if len(begin):
+        address[np.repeat(np.arange(len(count)), count)[np.isin(word_hashes(folded(raw), begin, end), ADDRESS_HASHES)]] = True
+    return np.stack([upper > SHOUTING * np.maximum(letters, 1), total(raw == 33) >= MARKS, total(swear) > 0, address], axis=1)
+
+
+@dataclass
+class Lexicon:
+    """Sorted term hashes, looked up through a table of their first 16 bits."""
+
+    vocabulary: np.ndarray
+
+    def __post_init__(self) -> None:
+        self.sieve = np.zeros(1 << 16, bool)
+        self.sieve[(self.vocabulary >> np.uint64(48)).astype(np.int64)] = True
+
+    def found(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """text, term and whether dense, of the terms of the vocabulary that occur, each once a text; and for each text the
+        share of its words that hold one (0 for a text without words)."""
+        h, text, word, count = terms(raw, offsets)
+        n = len(count)
+        if not len(self.vocabulary) or not len(h):
+            return np.zeros(0, int), np.zeros(0, int), np.zeros(0, bool), np.zeros(n)
+        on = np.flatnonzero(self.sieve[(h >> np.uint64(48)).astype(np.int64)])
+        at = np.searchsorted(self.vocabulary, h[on])
+        at[at == len(self.vocabulary)] = 0
+        on, at = (x[self.vocabulary[at] == h[on]] for x in (on, at))
+        pair, often = np.unique(text[on] * len(self.vocabulary) + at, return_counts=True)
+        where, term = np.divmod(pair, len(self.vocabulary))
+        _, one = np.unique(word[on], return_index=True)
+        share = np.bincount(text[on][one], minlength=n) / np.maximum(count, 1)
+        return where, term, often >= DENSE * count[where], share
 
 
 @dataclass
 class Model:
-    """vocabulary: sorted term hashes; weight: of each; offset."""
+    """vocabulary: sorted term hashes; weight: of each where it occurs, then of each where it is dense, then of the whole
+    vocabulary being dense; offset."""
 
     vocabulary: np.ndarray
     weight: np.ndarray
     offset: float
 
-    def sieve(self) -> np.ndarray:
-        out = np.zeros(1 << 16, bool)
-        out[(self.vocabulary >> np.uint64(48)).astype(np.int64)] = True
-        return out
 
+def inputs(raw: np.ndarray, offsets: np.ndarray, lexicon: Lexicon) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of the ones in the classifier's input matrix."""
+    text, term, dense, share = lexicon.found(raw, offsets)
+    n = len(lexicon.vocabulary)
+    whole = np.flatnonzero(share >= DENSE)
+    return np.concatenate([text, text[dense], whole]), np.concatenate([term, term[dense] + n, np.full(len(whole), 2 * n)])
 
-def found_terms(raw: np.ndarray, offsets: np.ndarray, vocabulary: np.ndarray, sieve: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """text and term of the terms of the vocabulary that occur, each once a text."""
-    h, text = terms(raw, offsets)
-    if not len(vocabulary):
-        return np.zeros(0, int), np.zeros(0, int)
-    on = np.flatnonzero(sieve[(h >> np.uint64(48)).astype(np.int64)])
-    at = np.searchsorted(vocabulary, h[on])
-    at[at == len(vocabulary)] = 0
-    hit = vocabulary[at] == h[on]
-    return np.divmod(np.unique(text[on][hit] * len(vocabulary) + at[hit]), len(vocabulary))
 
-
-def scores(raw: np.ndarray, offsets: np.ndarray, model: Model, sieve: np.ndarray) -> np.ndarray:
-    text, term = found_terms(raw, offsets, model.vocabulary, sieve)
-    z = np.bincount(text, model.weight[term], len(offsets) - 1) + model.offset
+def scores(raw: np.ndarray, offsets: np.ndarray, model: Model, lexicon: Lexicon) -> np.ndarray:
+    row, column = inputs(raw, offsets, lexicon)
+    z = np.bincount(row, model.weight[column], len(offsets) - 1) + model.offset
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def label_model(votes: np.ndarray, fires: np.ndarray) -> np.ndarray:
-    """Posterior of the label of each text. votes (texts, voters): who fires; the others abstain. fires: whether any
-    lexicon voter fires (the start, and the class balance).
-
-    Voters whose votes correlate beyond what the label explains form a group, which counts once, by its strongest voter.
+def parents(v: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """Parent of each voter (-1: none): of the voters that fire more rarely, the one with most mutual information given the
+    label, at least LINK nats. v (texts, voters) 0 or 1, p: posterior of the label of each text."""
+    m = v.shape[1]
+    told = np.zeros((m, m))
+    for q in (p, 1 - p):
+        n = q.sum() + 1e-9
+        both = (v * q[:, None]).T @ v
+        one = np.diag(both)
+        for k, a, b in ((both, one[:, None], one), (one[:, None] - both, one[:, None], n - one), (one - both, n - one[:, None], one), (n - one[:, None] - one + both, n - one[:, None], n - one)):
+            k = np.maximum(k, 1e-9)
+            told += k * np.log(k * n / np.maximum(a * b, 1e-9))
+    rate = v.sum(axis=0)
+    rarer = (rate[None, :] < rate[:, None]) | ((rate[None, :] == rate[:, None]) & np.tri(m, k=-1, dtype=bool))
+    told = np.where(rarer, told, -np.inf)
+    best = told.argmax(axis=1) if m else np.zeros(0, int)
+    return np.where(told[np.arange(m), best] >= LINK, best, -1)
+
+
+def label_model(votes: np.ndarray, start: np.ndarray, share: float, alone: int = 0, against: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Posterior of the label of each text, and the parent of each voter. votes (texts, voters): who fires; start: the
+    posterior to begin with; share: of label 1; alone: so many voters, the last ones, depend on the label only; against: so
+    many, the last ones, vote for label 0.
+
+    For a voter and a state s of its parent, P(fires | label, s) is estimated with a prior of one text of each label at the
+    voter's overall rate. A voter that fires adds the log ratio of its two rates; one that abstains adds nothing.
     """
     v = votes.astype(float)
-    p = np.where(fires, 0.9, 0.05)
-    prior = np.clip(p.mean(), 1e-3, 1 - 1e-3)
-    for _ in range(ROUNDS):
-        rate1 = (p @ v + 0.5) / (p.sum() + 1)
-        rate0 = ((1 - p) @ v + 0.05) / ((1 - p).sum() + 1)
-        rest = v - (p[:, None] * rate1 + (1 - p)[:, None] * rate0)
-        deviation = np.sqrt((rest**2).mean(axis=0)) + 1e-9
-        on = np.log(rate1 / rate0)
-        z = np.full(len(v), np.log(prior / (1 - prior)))
-        for group in groups((rest.T @ rest) / len(v) / np.outer(deviation, deviation) > CORRELATED):
-            said = v[:, group] * on[group]
-            z += np.where(np.abs(said.max(axis=1)) >= np.abs(said.min(axis=1)), said.max(axis=1), said.min(axis=1))
+    p, m = start.astype(float), v.shape[1]
+    prior = np.log(share / (1 - share))
+    side = np.where(np.arange(m) < m - against, 1, -1)
+    parent = np.full(m, -1)
+    for k in range(ROUNDS):
+        if k % AGAIN == 0:
+            parent[: m - alone] = parents(v[:, : m - alone], p)
+        state = np.where(parent >= 0, v[:, np.maximum(parent, 0)], 1.0)
+        z = np.full(len(v), prior)
+        for s in (state, 1 - state):
+            held1, held0 = p @ s, (1 - p) @ s
+            fired = v * s
+            n1, n0 = p @ fired, (1 - p) @ fired
+            overall = (n1 + n0 + 0.01) / (held1 + held0 + 0.02)
+            z += fired @ (np.maximum(np.log(((n1 + overall) / (held1 + 1)) / ((n0 + overall) / (held0 + 1))) * side, 0) * side)
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-    return p
-
-
-def groups(linked: np.ndarray) -> list[np.ndarray]:
-    """Connected groups of a symmetric relation."""
-    label = np.arange(len(linked))
-    while True:
-        least = np.where(linked | np.eye(len(linked), dtype=bool), label[None, :], len(linked)).min(axis=1)
-        if (least == label).all():
-            return [np.flatnonzero(label == k) for k in np.unique(label)]
-        label = least
-
-
-def evidence(k1: np.ndarray, k0: np.ndarray, n1: float, n0: float) -> np.ndarray:
-    """Twice the log likelihood ratio of own rates k1 of n1 and k0 of n0 against one rate for both."""
-    both = k1 + k0
-    part = lambda k, n: np.where(k > 0, k * np.log(np.maximum(k, 1e-9) * (n1 + n0) / (np.maximum(both, 1e-9) * n)), 0)
-    return 2 * (part(k1, n1) + part(k0, n0))
+    return p, parent
 
 
 def apart(votes: np.ndarray) -> list[int]:
@@ -170,96 +233,161 @@ def logistic(x: np.ndarray, y: np.ndarray, steps: int = 800, rate: float = 0.03,
     return w[:-1], float(w[-1])
 
 
-def without_copies(rows: list[tuple[int, str]]) -> list[tuple[int, str]]:
-    """Rows that are not near-copies of an earlier row of the same label: a word of a text that was copied many times is
-    no better evidence than a word of one text. Copies agree in both minima and both maxima of a pair of permutations of
-    their three-word shingles, for one of three pairs."""
+def copy_keys(raw: np.ndarray, offsets: np.ndarray) -> list[list[int]]:
+    """Three keys a text (none without words): both minima and both maxima of a pair of permutations of its three-word
+    shingles. Near-copies agree in one."""
+    h, edges = shingle_sets(raw, offsets, 3)
+    n = np.diff(edges)
+    full = np.flatnonzero(n)
+    out: list[list[int]] = [[] for _ in n]
+    if len(full):
+        low, high = min_max(h, np.append(edges[:-1][full], len(h)), 6)
+        keys = np.stack([mixed(low[k] + mixed(low[k + 1] + mixed(high[k] + mixed(high[k + 1] + np.uint64(k))))) for k in (0, 2, 4)], axis=1).view(np.int64)
+        for i, found in zip(full.tolist(), keys.tolist(), strict=True):
+            out[i] = found
+    return out
+
+
+def without_copies(rows: list[tuple[int, int, list[int]]]) -> list[tuple[int, int]]:
+    """(id, label) of rows (id, label, copy keys) that are not near-copies of an earlier row of the same label: a word of a
+    text that was copied many times is no better evidence than a word of one text."""
     seen, out = set(), []
-    for label, text in rows:
-        h, offsets = shingle_sets(*utf8(pa.array([text])), 3)
-        if len(h):
-            low, high = min_max(h, offsets, 6)
-            keys = {(label, k, *low[k : k + 2, 0].tolist(), *high[k : k + 2, 0].tolist()) for k in (0, 2, 4)}
-            if keys & seen:
-                continue
-            seen |= keys
-        out.append((label, text))
+    for i, label, keys in rows:
+        found = {(label, k) for k in keys}
+        if not found & seen:
+            out.append((i, label))
+            seen |= found
+    return out
+
+
+@dataclass
+class Sample:
+    """Texts (id, text) in a written table, and the ids, sorted, that count."""
+
+    texts: DataFrame
+    ids: np.ndarray
+
+    def over(self, work, schema: str) -> DataFrame:
+        """work(rows of self.ids, raw, offsets) -> batch, over slices of the texts that count."""
+        ids = self.texts.sparkSession.sparkContext.broadcast(self.ids)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in slices(batches, limit=SLICE):
+                found = b.column("id").to_numpy()
+                at = np.minimum(np.searchsorted(ids.value, found), len(ids.value) - 1)
+                good = ids.value[at] == found
+                if good.any():
+                    yield work(at[good], *utf8(b.filter(pa.array(good)).column("text")))
+
+        return self.texts.mapInArrow(run, schema)
+
+    def listed(self, work) -> list[tuple[int, list[int]]]:
+        """(row, numbers) of each text, where work(raw, offsets) -> rows and numbers."""
+
+        def run(at: np.ndarray, raw: np.ndarray, offsets: np.ndarray) -> pa.RecordBatch:
+            row, number = work(raw, offsets)
+            order = np.argsort(row, kind="stable")
+            edges = np.searchsorted(row[order], np.arange(len(at) + 1))
+            lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(number[order], pa.int32()))
+            return pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), lists], ["row", "numbers"])
+
+        return [(r["row"], r["numbers"]) for r in self.over(run, "row int, numbers array<int>").collect()]
+
+    def telling(self, label: np.ndarray, ratio: float, score: str, most: int) -> list[tuple[int, int]]:
+        """(term, whether dense) of the terms that go with the label (a number from 0 to 1 for each id), at most `most`,
+        the highest `score` first (an SQL expression over evidence, odds and k1)."""
+        share = self.texts.sparkSession.sparkContext.broadcast(np.round(label * UNIT).astype(np.int64))
+
+        def count(at: np.ndarray, raw: np.ndarray, offsets: np.ndarray) -> pa.RecordBatch:
+            text, h, dense, various = present(raw, offsets)
+            out = []
+            for kind, on in enumerate((np.ones(len(h), bool), dense, various)):
+                term, place = np.unique(h[on], return_inverse=True)
+                one = share.value[at[text[on]]]
+                k1, n = np.bincount(place, one, len(term)), np.bincount(place, minlength=len(term))
+                out.append((term.view(np.int64), np.full(len(term), kind, np.int32), k1.astype(np.int64), (n * UNIT - k1).astype(np.int64)))
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], ["term", "kind", "k1", "k0"])
+
+        n1 = float(share.value.sum()) / UNIT
+        n0 = len(self.ids) - n1
+        if min(n1, n0) <= 0:
+            return []
+        summed = self.over(count, "term long, kind int, k1 long, k0 long").groupBy("term", "kind").agg((F.sum("k1") / UNIT).alias("k1"), (F.sum("k0") / UNIT).alias("k0"))
+        part = lambda k, n: F.when(F.col(k) > 0, F.col(k) * F.log(F.col(k) * (n1 + n0) / ((F.col("k1") + F.col("k0")) * n))).otherwise(0.0)
+        found = summed.where("k1 >= 1").select("term", "kind", "k1", (2 * (part("k1", n1) + part("k0", n0))).alias("evidence"), (F.col("k1") / n1 / ((F.col("k0") + 0.5) / n0)).alias("odds"))
+        clear = found.where((F.col("odds") >= ratio) & (F.col("evidence") >= F.when(F.col("kind") == 2, VARIOUS).otherwise(EVIDENCE)))
+        ranked = clear.groupBy("term", F.least("kind", F.lit(1)).alias("kind")).agg(F.max(F.expr(score)).alias("score")).orderBy(F.desc("score"), "term", "kind").limit(most).collect()
+        return [(r["term"] % (1 << 64), r["kind"]) for r in ranked]
+
+
+def filled(n: int, width: int, lists: list[tuple[int, list[int]]]) -> np.ndarray:
+    """(n, width) of ones and zeros from (row, columns of the ones)."""
+    out = np.zeros((n, width), bool)
+    for row, columns in lists:
+        out[row, columns] = True
     return out
 
 
-def fit(rows: list[tuple[int, str]]) -> Model:
-    """rows: (label, text) of the sample."""
-    rows = without_copies(rows)
-    labels = np.array([y for y, _ in rows])
-    if len(set(labels.tolist())) < 2:
-        return Model(np.zeros(0, np.uint64), np.zeros(0), -40.0)
-    seen, texts, pattern = [], [], []
-    for i in range(0, len(rows), 100):
-        raw, offsets = utf8(pa.array([t for _, t in rows[i : i + 100]]))
-        h, text = terms(raw, offsets)
-        order = np.lexsort((h, text))
-        h, text = h[order], text[order]
-        new = np.ones(len(h), bool)
-        new[1:] = (h[1:] != h[:-1]) | (text[1:] != text[:-1])
-        seen.append(h[new])
-        texts.append(text[new] + i)
-        pattern.append(patterns(raw, offsets))
-    term, text = np.concatenate(seen), np.concatenate(texts)
-    unique, place = np.unique(term, return_inverse=True)
-    n1, n0 = (labels == 1).sum(), (labels == 0).sum()
-    toxic = np.bincount(place, labels[text], len(unique))
-    clean = np.bincount(place, 1 - labels[text], len(unique))
-    ratio = (toxic / n1) / ((clean + 0.5) / n0)
-    sure = evidence(toxic, clean, n1, n0)
-    good = np.flatnonzero((sure >= EVIDENCE) & (ratio >= RATIO))
-    order = good[np.lexsort((unique[good], -sure[good]))[: 10 * VOTERS]]
-    column = np.full(len(unique), -1)
-    column[order] = np.arange(len(order))
-    votes = np.zeros((len(rows), len(order)), bool)
-    on = column[place] >= 0
-    votes[text[on], column[place[on]]] = True
-    votes = votes[:, apart(votes)]
-    known = {h: i for i, h in enumerate(unique.tolist())}
-    address = np.zeros((len(rows), 1), bool)
-    for i in (known[h] for h in map(hashed, ADDRESS) if h in known):
-        address[text[place == i]] = True
-    fires = votes.any(axis=1)
-    posterior = label_model(np.concatenate([votes, np.concatenate(pattern), address, ~fires[:, None]], axis=1), fires)
-    # The classifier's terms: those that go with the posterior most clearly.
-    weight1 = np.bincount(place, posterior[text], len(unique))
-    weight0 = np.bincount(place, 1 - posterior[text], len(unique))
-    odds = np.log((weight1 + 0.1) / (weight0 + 0.1) * (1 - posterior).sum() / max(posterior.sum(), 1e-9))
-    score = odds * np.sqrt(weight1)
-    able = np.flatnonzero((evidence(weight1, weight0, posterior.sum(), (1 - posterior).sum()) >= EVIDENCE) & (odds > 1))
-    picked = np.sort(able[np.lexsort((unique[able], -score[able]))[:TERMS]])
-    if not len(picked):
-        return Model(np.zeros(0, np.uint64), np.zeros(0), -40.0)
-    vocabulary = unique[picked]
-    x = np.zeros((len(rows), len(vocabulary)))
-    sieve = Model(vocabulary, np.zeros(0), 0).sieve()
-    for i in range(0, len(rows), 100):
-        raw, offsets = utf8(pa.array([t for _, t in rows[i : i + 100]]))
-        a, b = found_terms(raw, offsets, vocabulary, sieve)
-        x[a + i, b] = 1
-    w, offset = logistic(x, posterior)
-    return Model(vocabulary, w, offset)
+def hashes(found: list[tuple[int, int]], most: int | None = None) -> np.ndarray:
+    """The first `most` different terms, sorted."""
+    return np.sort(np.array(list(dict.fromkeys(h for h, _ in found))[:most], np.uint64))
+
+
+def fit(sample: Sample, label: np.ndarray) -> Model:
+    """label: 0 or 1 for each id of the sample."""
+    nothing = Model(np.zeros(0, np.uint64), np.zeros(1), -40.0)
+    candidates = sample.telling(label, RATIO, "evidence", CANDIDATES)
+    if not candidates:
+        return nothing
+    spark, lexicon = sample.texts.sparkSession, Lexicon(hashes(candidates))
+    column = np.full((2, len(lexicon.vocabulary)), -1)
+    for i, (h, kind) in enumerate(candidates):
+        column[kind, np.searchsorted(lexicon.vocabulary, np.uint64(h))] = i
+    n, told = len(candidates), spark.sparkContext.broadcast((lexicon, column))
+
+    def vote(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        lexicon, column = told.value
+        text, term, dense, share = lexicon.found(raw, offsets)
+        by_pattern, pattern = np.nonzero(patterns(raw, offsets))
+        row = np.concatenate([text, text[dense], by_pattern, np.arange(len(share))])
+        number = np.concatenate([column[0, term], column[1, term[dense]], pattern + n, np.where(share >= DENSE, n + 4, np.where(share == 0, n + 5, n + 6))])
+        return row[number >= 0], number[number >= 0]
+
+    votes = filled(len(label), n + 7, sample.listed(vote))
+    votes = np.concatenate([votes[:, :n][:, apart(votes[:, :n])], votes[:, n:]], axis=1)
+    posterior, _ = label_model(votes, np.where(votes[:, -3], 0.9, 0.05), float(label.mean()), 3, 2)
+    picked = sample.telling(posterior, np.e, "ln(odds) * sqrt(k1)", 2 * TERMS)
+    if not picked:
+        return nothing
+    vocabulary = hashes(picked, TERMS)
+    chosen = spark.sparkContext.broadcast(Lexicon(vocabulary))
+    x = filled(len(label), 2 * len(vocabulary) + 1, sample.listed(lambda raw, offsets: inputs(raw, offsets, chosen.value)))
+    return Model(vocabulary, *logistic(x.astype(float), posterior))
 
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """docs, labels: rows that may be learned from. At most DOCS texts of each label, of at most TEXT_BYTES, are taken."""
+    """docs, labels: rows that may be learned from. DOCS texts of each label at most are taken, whole."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     known = labels.select(labels[id_col].cast("long").alias("id"), labels[label_col].cast("int").alias("label")).where("id is not null and label in (0, 1)")
     picked = [(r["id"], r["label"]) for r in sample(known.distinct(), "label", "id", 2 * DOCS).collect()]  # some may not be in docs
-    if not picked:
-        return fit([])
+    stages = Stages(spark, "toxicity")
     wanted = spark.createDataFrame(picked, "id long, label int")
-    texts = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text")).where(f"octet_length(text) between 1 and {TEXT_BYTES}")
-    known_texts = texts.join(F.broadcast(wanted), "id").groupBy("id", "label").agg(F.min("text").alias("text"))  # one of repeated rows
-    rows = []
-    for label in (0, 1):
-        part = known_texts.where(F.col("label") == label).orderBy(F.xxhash64("id"), "id").limit(DOCS)
-        rows += [(label, r["text"]) for r in part.select("text").collect()]
-    return fit(rows)
+    found = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text")).where("octet_length(text) > 0")
+    texts = stages.put(found.join(F.broadcast(wanted), "id").groupBy("id", "label").agg(F.min("text").alias("text")))  # one of repeated rows
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, limit=SLICE):
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("label"), pa.array(copy_keys(*utf8(b.column("text"))), pa.list_(pa.int64()))], ["id", "label", "keys"])
+
+    rows = texts.mapInArrow(keyed, "id long, label int, keys array<long>").orderBy(F.xxhash64("id"), "id", "label").collect()
+    own = [r for label in (0, 1) for r in [r for r in rows if r["label"] == label][:DOCS]]
+    kept = dict(without_copies([(r["id"], r["label"], r["keys"]) for r in own]))
+    ids = np.array(sorted(kept), np.int64)
+    label = np.array([kept[i] for i in ids.tolist()], float)
+    model = fit(Sample(texts, ids), label) if len(set(kept.values())) == 2 else Model(np.zeros(0, np.uint64), np.zeros(1), -40.0)
+    stages.drop(texts)
+    return model
 
 
 def classify(docs: DataFrame, model: Model, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -268,10 +396,9 @@ def classify(docs: DataFrame, model: Model, threshold: float = 0.5, id_col: str
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        sieve = model.sieve()
-        for b in slices(batches, limit=1 << 18):
-            p = scores(*utf8(b.column("text")), model, sieve)
+        lexicon = Lexicon(shared.value.vocabulary)
+        for b in slices(batches, limit=SLICE):
+            p = scores(*utf8(b.column("text")), shared.value, lexicon)
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(p), pa.array((p >= threshold).astype(np.int32))], ["id", "score", "predicted"])
 
     found = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
