@@ -6,12 +6,14 @@ languages of neighbouring words let a word borrow evidence from its context and
 Forward-backward gives each word the marginal probability of each language; a text has the language with the highest
 mean over its words that have letters, and that mean as score.
 
-Training takes a bounded sample: DOCS texts for each language, of which WINDOWS windows of WINDOW words each, chosen over
-the whole text. Training sequences are joined from windows of one to three texts, so switches occur. Prediction reads
-whole texts: words of many texts form one chain, cut into blocks whose transfer matrices are multiplied in parallel.
-
-Defined results: null text and text without a letter is `und` with score 0; without any training rows everything is;
-repeated rows give repeated rows; extra columns are ignored; ties go to the label that sorts first.
+Training takes a bounded sample: DOCS texts for each language (the training.LABELS most frequent ones), of which WINDOWS
+windows of WINDOW words each, chosen over the whole text. Training sequences are joined from windows of one to three
+texts, so switches occur. Prediction reads whole texts: words of many texts form one chain, cut into blocks whose
+transfer matrices are multiplied in parallel.
+
+Defined results: null text and text without a letter (a character of a letter category in Unicode) is `und` with score 0;
+without any training rows everything is; repeated rows give repeated rows; extra columns are ignored; ties go to the label
+that sorts first.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .batches import bounded_batches, slices, utf8
+from .bpe import LETTER, classes
 from .shingles import BYTE, FOLD, word_hashes, words
 from .training import sample
 
@@ -35,8 +38,8 @@ EPOCHS, RATE, DECAY, BATCH = 6, 0.5, 1e-6, 64
 LEXICON = 20_000
 UNDETERMINED = "und"
 
-LETTER_BYTES = np.zeros(256, bool)
-LETTER_BYTES[65:91] = LETTER_BYTES[97:123] = LETTER_BYTES[0xC3:0xF5] = True  # lead bytes from U+00C0 on
+ASCII_LETTERS = np.zeros(256, bool)
+ASCII_LETTERS[65:91] = ASCII_LETTERS[97:123] = True
 
 
 def folded(raw: np.ndarray) -> np.ndarray:
@@ -48,16 +51,15 @@ def folded(raw: np.ndarray) -> np.ndarray:
 
 
 def letters(raw: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Number of letters of each word: ASCII letters, and characters from U+00C0 on but for the signs × and ÷ and the
-    blocks of general punctuation, symbols and emoji (U+2000 to U+2BFF, U+3000 to U+303F, from U+1F000)."""
-    is_letter = LETTER_BYTES[raw]
-    if len(raw) > 1:
-        a, b = raw[:-1], raw[1:]
-        odd = (a == 0xC3) & ((b == 0x97) | (b == 0xB7))
-        odd |= (a == 0xE2) & (b <= 0xAF)
-        odd |= (a == 0xE3) & (b == 0x80)
-        odd |= (a == 0xF0) & (b == 0x9F)
-        is_letter[:-1] &= ~odd
+    """Number of letters of each word: characters whose general category in Unicode is one of the letters'."""
+    is_letter = ASCII_LETTERS[raw]
+    lead = np.flatnonzero(raw >= 0xC0)
+    if len(lead):
+        at = np.concatenate([raw, np.zeros(3, np.uint8)]).astype(np.int32)
+        first, second, third, fourth = (at[lead + k] for k in range(4))
+        two, three = (first & 0x1F) << 6 | second & 0x3F, (first & 0x0F) << 12 | (second & 0x3F) << 6 | third & 0x3F
+        four = (first & 0x07) << 18 | (second & 0x3F) << 12 | (third & 0x3F) << 6 | fourth & 0x3F
+        is_letter[lead] = classes()[np.where(first < 0xE0, two, np.where(first < 0xF0, three, four))] == LETTER
     total = np.concatenate([[0], np.cumsum(is_letter)])
     return total[end] - total[begin]
 

@@ -8,6 +8,7 @@ import math
 import os
 import random
 import re
+import unicodedata
 import zlib
 
 import numpy as np
@@ -206,6 +207,20 @@ def test_language_held_out(spark):
     assert sum(r["lang"] == r["lang_pred"] for r in out) > 0.97 * len(out)
 
 
+def test_letters_are_those_of_unicode():
+    """Signs, digits and marks of any script are no letters; rare letters are."""
+    none = ["！？", "٣٤٥", "،؟", "︵", "\ufe0f", "１２", "́", "\U0001f600", "×÷", "—…", "", " \t", "_-7", "\U000e0041"]
+    some = ["ª º", "ℂ ℕ", "中", "ж", "é", "\U00010400", "1a", "！ß？"]
+    texts = none + some + messy("a1é中！٣ª \n×\U0001f600\U00010400ж́", 500, 6)
+    raw, offsets = utf8(pa.array(texts))
+    begin, end, count = shingles.words(raw, offsets)
+    n = np.bincount(np.repeat(np.arange(len(texts)), count), language.letters(raw, begin, end), len(texts))
+    assert n.tolist() == [sum(unicodedata.category(c)[0] == "L" for c in t) for t in texts]
+    rows = [(name, [" ".join(w * 10)]) for name, w in (("en", ["the", "cat"]), ("de", ["der", "Hund"])) for _ in range(5)]
+    names, scores = language.labelled(pa.RecordBatch.from_arrays([pa.array(texts)], ["text"]), language.fit(rows))
+    assert all((name == "und") == (k == 0) and (score == 0) == (k == 0) for name, score, k in zip(names, scores, n, strict=True))
+
+
 def test_switching_words():
     en, de = "the cat sat on the mat with another thing".split(), "der Hund und die Katze schlafen auf dem Sofa".split()
     rng = random.Random(2)
