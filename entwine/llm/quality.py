@@ -5,9 +5,6 @@ the bytes of a chunk (each byte through a learned embedding), WIDTH bytes wide a
 over a chunk, floored at zero, is the chunk's vector. A text is the mean and the maximum of its chunks' vectors; a learned
 linear layer turns both into one probability.
 
-Two more inputs of the linear layer come from the same bytes: how often a byte equals the byte at the same place of the
-word before (the filters are too narrow to see a repeated word), as mean and maximum over the chunks.
-
 Training takes a bounded sample: DOCS texts for each label, of which up to CHUNKS chunks each, spread over the whole text.
 Prediction reads every byte; filters and embedding are folded into tables of byte pairs, so a response is a sum of
 WIDTH / 2 table rows.
@@ -28,7 +25,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .batches import bounded_batches, slices, utf8
-from .shingles import word_hashes, words
 from .training import sample
 
 DOCS, CHUNKS = 1200, 12
@@ -40,7 +36,7 @@ PER_CALL = 256  # chunks whose responses are held at once
 
 @dataclass
 class Model:
-    """embedding (256, DEPTH); kernel (WIDTH, DEPTH, FILTERS); bias (FILTERS); weight (2 * FILTERS + 2); offset."""
+    """embedding (256, DEPTH); kernel (WIDTH, DEPTH, FILTERS); bias (FILTERS); weight (2 * FILTERS); offset."""
 
     embedding: np.ndarray
     kernel: np.ndarray
@@ -56,12 +52,12 @@ class Model:
 
 
 def chunk_edges(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Begin and end of the chunks of a text of `size` bytes; the last one is moved back so that it is full."""
+    """Begin and end of the chunks of a text of `size` bytes. They begin at even places; the last one is moved back so that
+    it is full, or lacks one byte, and ends with the text."""
     if size <= CHUNK:
         return np.array([0]), np.array([size])
     begin = np.arange(0, size - OVERLAP, CHUNK - OVERLAP)
-    begin = np.minimum(begin, size - CHUNK)
-    begin -= begin % 2
+    begin = np.minimum(begin, size - CHUNK + size % 2)
     return begin, np.minimum(begin + CHUNK, size)
 
 
@@ -72,19 +68,6 @@ def chunk_rows(raw: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarra
     return np.where(at < end[:, None], rows, 0).astype(np.uint8)
 
 
-def repeats(rows: np.ndarray) -> np.ndarray:
-    """Share of the words of each chunk that equal the word before."""
-    flat = rows.ravel()
-    begin, end, count = words(np.where(flat == 0, 32, flat).astype(np.uint8), np.arange(len(rows) + 1) * rows.shape[1])
-    if not len(begin):
-        return np.zeros(len(rows), np.float32)
-    h = word_hashes(flat, begin, end)
-    chunk = np.repeat(np.arange(len(rows)), count)
-    same = np.zeros(len(h))
-    same[1:] = (h[1:] == h[:-1]) & (chunk[1:] == chunk[:-1])
-    return (np.bincount(chunk, same, len(rows)) / np.maximum(count, 1)).astype(np.float32)
-
-
 def pooled(rows: np.ndarray, tables: np.ndarray, bias: np.ndarray, winners: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
     """Largest response of each filter over each chunk (chunks, FILTERS), floored at zero; and where it is, in strides."""
     pairs = rows.view("<u2")
@@ -102,12 +85,10 @@ def pooled(rows: np.ndarray, tables: np.ndarray, bias: np.ndarray, winners: bool
     return np.maximum(out + bias, 0), where
 
 
-def combined(vectors: np.ndarray, again: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """(texts, 2 * FILTERS + 2): mean and maximum of the chunks of each text. starts: first chunk of each text."""
-    full = np.concatenate([vectors, again[:, None]], axis=1)
-    n = np.diff(np.append(starts, len(full)))[:, None]
-    mean, most = np.add.reduceat(full, starts, axis=0) / n, np.maximum.reduceat(full, starts, axis=0)
-    return np.concatenate([mean[:, :-1], most[:, :-1], mean[:, -1:], most[:, -1:]], axis=1)
+def combined(vectors: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """(texts, 2 * FILTERS): mean and maximum of the chunks of each text. starts: first chunk of each text."""
+    n = np.diff(np.append(starts, len(vectors)))[:, None]
+    return np.concatenate([np.add.reduceat(vectors, starts, axis=0) / n, np.maximum.reduceat(vectors, starts, axis=0)], axis=1)
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -118,13 +99,12 @@ def fit(rows: list[tuple[int, list[bytes]]], seed: int = 3) -> Model:
     """Adam steps on the logistic loss, with both labels weighing the same. rows: (label, chunks) of each text."""
     rng = np.random.default_rng(seed)
     scale = (WIDTH * DEPTH) ** -0.5
-    p = {"embedding": rng.normal(0, 1, (256, DEPTH)), "kernel": rng.normal(0, scale, (WIDTH, DEPTH, FILTERS)), "bias": np.zeros(FILTERS), "weight": rng.normal(0, 0.1, 2 * FILTERS + 2), "offset": np.zeros(1)}
+    p = {"embedding": rng.normal(0, 1, (256, DEPTH)), "kernel": rng.normal(0, scale, (WIDTH, DEPTH, FILTERS)), "bias": np.zeros(FILTERS), "weight": rng.normal(0, 0.1, 2 * FILTERS), "offset": np.zeros(1)}
     labels = np.array([y for y, _ in rows])
     if len(set(labels.tolist())) < 2:
         return Model(*(p[k] for k in ("embedding", "kernel", "bias", "weight")), 0.0, True)
     weight_of = {y: len(labels) / (2 * (labels == y).sum()) for y in (0, 1)}
     chunks = [np.frombuffer(b"".join(c.ljust(CHUNK, b"\0") for c in found), np.uint8).reshape(-1, CHUNK) for _, found in rows]
-    again = [repeats(c) for c in chunks]
     first, second = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
     t = 0
     epochs = -(-STEPS // -(-len(rows) // BATCH))
@@ -132,18 +112,18 @@ def fit(rows: list[tuple[int, list[bytes]]], seed: int = 3) -> Model:
         order = rng.permutation(len(rows))
         for i in range(0, len(order), BATCH):
             part = order[i : i + BATCH]
-            x, r = np.concatenate([chunks[j] for j in part]), np.concatenate([again[j] for j in part])
+            x = np.concatenate([chunks[j] for j in part])
             n = np.array([len(chunks[j]) for j in part])
             starts = np.cumsum(n) - n
             text = np.repeat(np.arange(len(part)), n)
             model = Model(p["embedding"], p["kernel"], p["bias"], p["weight"], 0.0)
             v, where = pooled(x, model.pair_tables(), p["bias"].astype(np.float32), True)
-            z = combined(v, r, starts)
+            z = combined(v, starts)
             y = labels[part]
             error = (sigmoid(z @ p["weight"] + p["offset"]) - y) * np.array([weight_of[k] for k in y]) / len(part)
             g = {"weight": z.T @ error + 1e-4 * p["weight"], "offset": np.array([error.sum()])}
-            top = v == z[text, FILTERS : 2 * FILTERS]
-            up = error[text][:, None] * (p["weight"][:FILTERS] / n[text][:, None] + p["weight"][FILTERS : 2 * FILTERS] * top) * (v > 0)
+            top = v == z[text, FILTERS:]
+            up = error[text][:, None] * (p["weight"][:FILTERS] / n[text][:, None] + p["weight"][FILTERS:] * top) * (v > 0)
             g["bias"] = up.sum(axis=0)
             g["kernel"], g["embedding"] = np.zeros_like(p["kernel"]), np.zeros_like(p["embedding"])
             for f in range(FILTERS):
@@ -211,7 +191,7 @@ def scores(raw: np.ndarray, offsets: np.ndarray, model: Model, tables: np.ndarra
         return np.zeros(0)
     rows = chunk_rows(raw, np.concatenate(begins), np.concatenate(ends))
     v, _ = pooled(rows, tables, model.bias)
-    return sigmoid(combined(v, repeats(rows), np.array(starts)) @ model.weight + model.offset)
+    return sigmoid(combined(v, np.array(starts)) @ model.weight + model.offset)
 
 
 def scored(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:

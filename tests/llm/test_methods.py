@@ -258,7 +258,7 @@ def test_quality_held_out(spark):
 
 def test_convolution_is_brute_force():
     rng = np.random.default_rng(0)
-    m = quality.Model(rng.normal(size=(256, quality.DEPTH)), rng.normal(size=(quality.WIDTH, quality.DEPTH, quality.FILTERS)), rng.normal(size=quality.FILTERS).astype(np.float32), rng.normal(size=2 * quality.FILTERS + 2), 0.3)
+    m = quality.Model(rng.normal(size=(256, quality.DEPTH)), rng.normal(size=(quality.WIDTH, quality.DEPTH, quality.FILTERS)), rng.normal(size=quality.FILTERS).astype(np.float32), rng.normal(size=2 * quality.FILTERS), 0.3)
     rows = rng.integers(0, 256, (3, quality.CHUNK)).astype(np.uint8)
     got, where = quality.pooled(rows, m.pair_tables(), m.bias, True)
     for i in range(3):
@@ -266,9 +266,35 @@ def test_convolution_is_brute_force():
         windows = np.stack([m.embedding[rows[i, a : a + quality.WIDTH]] for a in at])
         response = np.einsum("nwd,wdf->nf", windows, m.kernel) + m.bias
         assert np.allclose(got[i], np.maximum(response.max(axis=0), 0), atol=1e-4) and (where[i] == response.argmax(axis=0)).all()
-    for size in (0, 1, 511, 512, 513, 5000):
+    for size in (0, 1, 510, 511, *range(512, 3000), 50_001):
         begin, end = quality.chunk_edges(size)
-        assert begin[0] == 0 and end[-1] >= size - 1 and (begin[1:] <= end[:-1]).all()
+        assert begin[0] == 0 and end[-1] == size and (begin[1:] <= end[:-1]).all() and (begin % 2 == 0).all() and (end - begin <= quality.CHUNK).all()
+
+
+def test_quality_score_is_brute_force():
+    """Every byte of a text counts, the last one too."""
+    rng = np.random.default_rng(1)
+    m = quality.Model(rng.normal(size=(256, quality.DEPTH)), 0.3 * rng.normal(size=(quality.WIDTH, quality.DEPTH, quality.FILTERS)), rng.normal(size=quality.FILTERS).astype(np.float32), 0.1 * rng.normal(size=2 * quality.FILTERS), 0.3)
+    texts = ["", "a", "é" * 300 + "x", *messy("ab cé\n\U0001f600", 6, 2500)] + ["q" * n for n in (511, 512, 513, 1025, 1473)]
+    raw, offsets = utf8(pa.array(texts))
+    got = quality.scores(raw, offsets, m, m.pair_tables())
+    for text, score in zip(texts, got, strict=True):
+        data, vectors, at = text.encode(), [], 0
+        while True:
+            last = at + quality.CHUNK >= len(data)
+            at = max(0, len(data) - quality.CHUNK + len(data) % 2) if last else at
+            chunk = data[at : at + quality.CHUNK].ljust(quality.CHUNK, b"\0")
+            x = m.embedding[list(chunk)]
+            responses = [np.einsum("wd,wdf->f", x[i : i + quality.WIDTH], m.kernel) + m.bias for i in range(0, quality.CHUNK - quality.WIDTH + 1, quality.STRIDE)]
+            vectors.append(np.maximum(np.max(responses, axis=0), 0))
+            if last:
+                break
+            at += quality.CHUNK - quality.OVERLAP
+        z = np.concatenate([np.mean(vectors, axis=0), np.max(vectors, axis=0)]) @ m.weight + m.offset
+        assert abs(score - 1 / (1 + np.exp(-z))) < 1e-4
+    changed = [t[:-1] + "#" for t in texts if len(t) > 512 and t.isascii()]
+    same = [t for t in texts if len(t) > 512 and t.isascii()]
+    assert (quality.scores(*utf8(pa.array(changed)), m, m.pair_tables()) != quality.scores(*utf8(pa.array(same)), m, m.pair_tables())).any()
 
 
 def test_label_model_finds_the_label():
