@@ -4,7 +4,8 @@ STAGES lists (name, function); a function takes (spark, docs, sf_dir) and return
 and reread as the next one's docs. All but the last return the columns of documents.
 
 Defined results: a text of score under QUALITY goes, empty and null texts with it (nothing can be learned from them); a
-text whose language is `und` goes; of each group of near-copies the smallest doc_id stays, repeated rows of one doc_id
+text whose language is `und`, is not wanted, or fills less than SHARE of the text's words by the random field's
+marginals goes (foreign, mixed or unreadable text; by default every learned language is wanted); of each group of near-copies the smallest doc_id stays, repeated rows of one doc_id
 stay once, rows with a null doc_id stay as they are; an empty table gives an empty result.
 """
 
@@ -24,6 +25,8 @@ from entwine.llm.batches import Stages, bounded_batches, slices
 from entwine.llm.training import remainder
 
 QUALITY = 0.7  # as in the query of the classifier
+SHARE = 0.5  # least mean marginal of a text's language
+WANTED: frozenset[str] | None = None  # languages to keep; None: all learned ones
 
 
 def kept(docs: DataFrame, keep) -> DataFrame:
@@ -53,10 +56,15 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return kept(docs, keep)
 
 
-def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts that have a language. The random field learns from the labelled rows it is given."""
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, wanted: frozenset[str] | None = WANTED, share: float = SHARE) -> DataFrame:
+    """Texts in a wanted language, as the random field labels their words. It learns from the labelled rows it is given."""
     model = spark.sparkContext.broadcast(language.train(docs.where(remainder(F.col("doc_id"), 4) != 2), "doc_id", "text", "lang"))
-    return kept(docs, lambda b: [name != language.UNDETERMINED for name in language.labelled(b, model.value)[0]])
+
+    def keep(b: pa.RecordBatch) -> list[bool]:
+        names, scores = language.labelled(b, model.value)
+        return [name != language.UNDETERMINED and (wanted is None or name in wanted) and score >= share for name, score in zip(names, scores, strict=True)]
+
+    return kept(docs, keep)
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -74,7 +82,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 STAGES = [("quality", quality_stage), ("language", language_stage), ("near_duplicates", dedup_stage), ("packing", packing_stage)]
 
-#: Trained stages, which SQL cannot express; tests/llm holds the stages against brute force.
+#: Trained stages, which SQL cannot express; tests/llm holds the whole pipeline against the operators and a plain grouping.
 ORACLE_SQL = None
 
 
