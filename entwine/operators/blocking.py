@@ -162,6 +162,9 @@ ONLINE_CAPS = {"consonant_skel": 200, "addr_name": 200, "addr_token": 80, "char_
 TOKEN_RARITY, GRAM_RARITY = 5, 2
 
 
+QUOTA = {"S2": 60, "S3": 90}
+
+
 def online_keys(mode: str) -> list[Key]:
     """Keys of the online and preflight blockers: no bucket caps, no stop words in the combination, raw names of targets."""
     c = F.col

@@ -76,6 +76,9 @@ def integrity(labelled: DataFrame, truth: DataFrame, features: list[str] = ()) -
     return out
 
 
+# The masks below and their thresholds.
+
+
 def hard_masks(table: DataFrame) -> DataFrame:
     """Adds the six masks of hard positives, the seven of hard negatives, hard_positive and hard_negative."""
     c = F.col

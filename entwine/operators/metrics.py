@@ -84,6 +84,9 @@ def chain(cases: list[tuple[str, Column]], other: str) -> Column:
     return out.otherwise(other)
 
 
+# The classes below, their order and thresholds.
+
+
 def false_positive_class() -> Column:
     c = F.col
     name, address = c("name_levenshtein_ratio"), c("address_levenshtein_ratio")
@@ -132,6 +135,14 @@ def miss_class(x: str = "x", y: str = "y") -> Column:
     ], "other")
 
 
+def misses(links: DataFrame, pairs: DataFrame, s1: DataFrame, targets: DataFrame) -> DataFrame:
+    """category, n of the links (s1_id, cand_id) that are no pairs. s1, targets: prepared records."""
+    missed = links.distinct().join(pairs.select("s1_id", "cand_id").distinct(), ["s1_id", "cand_id"], "left_anti")
+    x = s1.select(F.col("entity_id").alias("s1_id"), F.struct(*s1.columns).alias("x"))
+    y = targets.select(F.col("entity_id").alias("cand_id"), F.struct(*targets.columns).alias("y"))
+    return missed.join(x, "s1_id").join(y, "cand_id").select(miss_class().alias("category")).groupBy("category").agg(F.count("*").alias("n"))
+
+
 def exemplars(table: DataFrame, by: str, order: list[str | Column], most: int = 3) -> DataFrame:
     """The first rows of each class."""
     rank = F.row_number().over(Window.partitionBy(by).orderBy(*order))

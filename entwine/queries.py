@@ -1,7 +1,7 @@
 """Registered queries of the entity-resolution operators, each over whole tables, with DuckDB SQL where SQL can say it.
 
-The test tables hold no business records, so every document is read as one: its first words are the name, the next ones
-with the length and a code the address, its language the country; equal texts are true links.
+The test tables hold no business records, so every document is read as one (see `entities`): its first words are the name,
+the next ones with the length and a code the address, its language the country; equal texts are true links.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from .operators import metrics as M
 from .operators import model, validate
 from .operators.prepare import enrich, prepare, preprocess
 from .plans.pipeline import Config, Pipeline, rule_score
-from .sources.records import spine_lists
+from .sources.records import spine_lists, with_ordinal
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -45,13 +45,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as a record. The first four words are its name, the next five its address; the rest of the text counts
+    by its length and digest only. By doc_id, some names are planted in Indic script on one side and in Latin letters on the
+    other, or get a designation, a prefix or no blanks; some addresses get a plot and abbreviations, or are missing."""
     w = F.split(F.trim("text"), r"\s+", 10)  # nine words and the rest
-    source = F.when(F.col("doc_id") % 3 == 0, "S1-").when(F.col("doc_id") % 3 == 1, "S2-").otherwise("S3-")
+    i, lit = F.col("doc_id"), F.lit
+    target, pick = i % 3 != 0, lambda names, n: F.element_at(F.array(*map(F.lit, names)), (i % n + 1).cast("int"))
+    source = F.when(i % 3 == 0, "S1-").when(i % 3 == 1, "S2-").otherwise("S3-")
     code = F.lpad((F.col("n_chars") % 900 + 10000).cast("string"), 5, "0")
-    return table(spark, sf_dir, "documents").select(
-        F.concat(source, F.col("doc_id").cast("string")).alias("entity_id"), F.array_join(F.slice(w, 1, 4), " ").alias("business_name"),
-        F.concat(F.col("n_chars").cast("string"), F.lit(" "), F.array_join(F.slice(w, 5, 5), " "), F.lit(" "), code).alias("business_address"), F.col("lang").alias("country"), F.md5(F.lower("text")).alias("digest"),
-    )
+    foreign, indic = i % 23 == 5, target == (i % 8 < 4)
+    own = F.when(i % 7 == 2, F.array_join(F.slice(w, 1, 4), "")).otherwise(F.concat(F.when(i % 17 == 8, "M/s. ").otherwise(""), F.array_join(F.slice(w, 1, 4), " ")))
+    latin = F.when(~target & (i % 4 == 1), F.regexp_replace(pick(Q.LATIN_NAMES, 5), " ", "")).otherwise(pick(Q.LATIN_NAMES, 5))
+    name = F.when(~foreign, own).when(indic, pick(Q.INDIC_NAMES, 5)).otherwise(latin)
+    suffix = F.when(~target | (i % 4 != 1), "").when(foreign & indic, f" {Q.INDIC_SUFFIX}").otherwise(F.concat(lit(" "), pick(Q.SUFFIXES, 6)))
+    plain = F.concat(F.col("n_chars").cast("string"), lit(" "), F.array_join(F.slice(w, 5, 5), " "), lit(" "), code)
+    address = F.when(i % 31 == 4, "none").when(i % 19 == 6, F.concat(lit("Plot No. "), (i % 50).cast("string"), lit("-B Main St. "), plain)).otherwise(plain)
+    return table(spark, sf_dir, "documents").select(F.concat(source, i.cast("string")).alias("entity_id"), F.concat(name, suffix).alias("business_name"), address.alias("business_address"), F.col("lang").alias("country"), F.md5(F.lower("text")).alias("digest"))
 
 
 class Case:
@@ -89,9 +98,9 @@ def scan_entities(spark, sf_dir):
     return entities(spark, sf_dir).drop("digest")
 
 
-@query(f"with {Q.PREP} select entity_id, norm, compact, nosuff from prep")
+@query(f"with {Q.PREP} select entity_id, norm, compact, nosuff, trans, has_indic from prep")
 def name_normalize(spark, sf_dir):
-    return prepare(entities(spark, sf_dir)).select("entity_id", "norm", "compact", "nosuff")
+    return prepare(entities(spark, sf_dir)).select("entity_id", "norm", "compact", "nosuff", "trans", "has_indic")
 
 
 @query(f"with {Q.PREP} select entity_id, address from prep")
@@ -105,7 +114,7 @@ def postal_house_extract(spark, sf_dir):
     return ev.select("entity_id", X.postal_code(F.col("business_address")).alias("postal"), X.house_number(F.col("business_address")).alias("house"), F.array_join(X.numbers(F.col("business_address")), ",").alias("numbers"))
 
 
-@query(f"with {Q.PREP} select entity_id, norm as name_normalized, compact as name_compact, array_to_string(toks, ' ') as name_tokens, nosuff as name_without_legal_suffix, norm as name_transliterated, address as address_normalized, array_to_string(atoks, ' ') as address_tokens, postal as postal_code, house as house_number from prep")
+@query(f"with {Q.PREP} select entity_id, norm as name_normalized, compact as name_compact, array_to_string(toks, ' ') as name_tokens, nosuff as name_without_legal_suffix, trans as name_transliterated, address as address_normalized, array_to_string(atoks, ' ') as address_tokens, postal as postal_code, house as house_number from prep")
 def preprocess_frame(spark, sf_dir):
     out = preprocess(entities(spark, sf_dir))
     return out.select("entity_id", "name_normalized", "name_compact", F.array_join("name_tokens", " ").alias("name_tokens"), "name_without_legal_suffix", "name_transliterated", "address_normalized", F.array_join("address_tokens", " ").alias("address_tokens"), "postal_code", "house_number")
@@ -135,7 +144,7 @@ def _block(rule: str):
     query(f"with {Q.BLOCK} select s1_id, cand_id from pairs where rule = '{rule}'")(run)
 
 
-for _rule in ("exact_norm", "exact_compact", "nosuff", "nosuff_compact", "postal_prefix", "postal_token", "postal_house", "house_prefix", "house", "addr_token", "consonant_skel", "addr_name"):
+for _rule in ("exact_norm", "exact_compact", "nosuff", "nosuff_compact", "translit", "translit_nosuff", "translit_compact", "postal_prefix", "postal_token", "postal_house", "house_prefix", "house", "addr_token", "consonant_skel", "addr_name"):
     _block(_rule)
 
 
@@ -184,17 +193,7 @@ def blocking_ablation(spark, sf_dir):
     return inside.select("config", "s1_id", "cand_id").distinct().join(known, ["s1_id", "cand_id"], "left").groupBy("config").agg(F.count("*").alias("pairs"), F.count("_y").alias("found"))
 
 
-@query(f"""with {Q.PREP},
-gt as (select entity_id as id, country, unnest(toks) as w from tgt), gs as (select entity_id as id, country, unnest(toks) as w from s1),
-grams as (select 't' as side, * from (select id, country, unnest(case when length(w) + 2 >= k then list_transform(range(1, length(w) + 4 - k), lambda i: substring(' ' || w || ' ', i, k)) else [' ' || w || ' '] end) as gram from gt cross join (values (3), (4), (5)) v(k))
-  union all select 's', * from (select id, country, unnest(case when length(w) + 2 >= k then list_transform(range(1, length(w) + 4 - k), lambda i: substring(' ' || w || ' ', i, k)) else [' ' || w || ' '] end) as gram from gs cross join (values (3), (4), (5)) v(k))),
-tf as (select side, id, country, gram, count(*) as tf from grams group by all),
-n as (select country, count(*) as n from tgt group by all),
-idf as (select country, gram, ln((1 + n) / (1 + df)) + 1 as idf from (select country, gram, count(*) as df from tf where side = 't' group by all) join n using (country) where n < 10 or (df >= 2 and df <= 0.25 * n)),
-w as (select side, id, country, gram, tf * idf as w from tf join idf using (country, gram)),
-u as (select w.side, w.id, country, gram, w / norm as w from w join (select side, id, sqrt(sum(w * w)) as norm from w group by all) m on w.side = m.side and w.id = m.id),
-sims as (select a.id as s1_id, b.id as cand_id, round(sum(a.w * b.w), 6) as sim from u a join u b on a.country = b.country and a.gram = b.gram where a.side = 's' and b.side = 't' group by all)
-select s1_id, cand_id, sim from (select *, row_number() over (partition by s1_id order by sim desc, cand_id) as r from sims) where r <= 10 and sim >= 0.4""")
+@query(f"with {Q.PREP}, {Q.NGRAM} select s1_id, cand_id, sim from near")
 def ngram_knn(spark, sf_dir):
     c = Case(spark, sf_dir, kept=False)  # two narrow columns are read; a cached copy measured slower
     return B.ngram_neighbours(c.s1, c.targets)
@@ -205,24 +204,22 @@ ORDINAL = "row_number() over (partition by source, country order by entity_id)"
 
 @query(f"""with {Q.BLOCK}, o as (select entity_id as cand_id, source, {ORDINAL} as ordinal from tgt),
 q as (select *, row_number() over (partition by s1_id, source order by ordinal, cand_id) as r from ev_pairs join o using (cand_id))
-select s1_id, cand_id, source, ordinal, rules, num_blocking_rules as num_rules from q where r <= case source when 'S2' then 6 else 9 end""")
+select s1_id, cand_id, source, ordinal, rules, num_blocking_rules as num_rules from q where r <= case source when 'S2' then {B.QUOTA['S2']} else {B.QUOTA['S3']} end""")
 def quota_by_source(spark, sf_dir):
-    """The quota operator in file order, at a tenth of the production limits so that it cuts on small tables."""
+    """The quota operator in file order, at the production limits."""
     c = Case(spark, sf_dir)
-    order = c.targets.select(F.col("entity_id").alias("cand_id"), "source", F.row_number().over(Window.partitionBy("source", "country").orderBy("entity_id")).alias("ordinal"))
-    out = B.quota(B.block(c.s1, c.targets).join(order, "cand_id"), {"S2": 6, "S3": 9})
+    order = _ordered(c).select(F.col("entity_id").alias("cand_id"), "source", "ordinal")
+    out = B.quota(B.block(c.s1, c.targets).join(order, "cand_id"), B.QUOTA)
     return out.select("s1_id", "cand_id", "source", "ordinal", F.array_join("rules", ",").alias("rules"), "num_rules")
 
 
-@query(f"""with {Q.BLOCK}, o as (select entity_id as id, source, {ORDINAL} as ordinal from tgt),
-r as (select tk.*, o.source, o.ordinal, row_number() over (partition by country, rule, key order by o.source, o.ordinal, id) as r from tk join o using (id) where rule in ('house', 'addr_token'))
-select country, rule, key, id from r where r <= case rule when 'house' then 5 else 3 end""")
+@query(f"with {Q.online_sql('online')} select country, rule, key, id from ot where rule in ('consonant_skel', 'addr_name', 'addr_token', 'char_ngram')")
 def first_n_cap(spark, sf_dir):
+    """Postings of targets that are kept under the caps of the online blocker."""
     c = Case(spark, sf_dir)
-    order = c.targets.select(F.col("entity_id").alias("id"), "source", F.row_number().over(Window.partitionBy("source", "country").orderBy("entity_id")).alias("ordinal"))
-    keys = [k for k in B.offline_keys() if k.name in ("house", "addr_token")]
-    posted = B.postings(B.with_tokens(c.targets, B.token_frequencies(c.targets)), keys, "target").join(order, "id")
-    return B.first_n(posted, {"house": 5, "addr_token": 3}).select("country", "rule", "key", "id")
+    keys = [k for k in B.online_keys("online") if k.name in B.ONLINE_CAPS]
+    posted = B.postings(c.targets, keys, "target").join(_ordered(c).select(F.col("entity_id").alias("id"), "source", "ordinal"), "id")
+    return B.first_n(posted, B.ONLINE_CAPS).select("country", "rule", "key", "id")
 
 
 @query(f"with {Q.BLOCK} select s.entity_id as source1_entity_id, coalesce(string_agg(cand_id, ',' order by cand_id), '') as candidate_entity_ids from s1 s left join ev_pairs e on e.s1_id = s.entity_id group by all")
@@ -231,23 +228,21 @@ def candidates_spine(spark, sf_dir):
     return spine_lists(c.s1, c.pairs(), "candidate_entity_ids")
 
 
+def _ordered(c: Case) -> DataFrame:
+    return with_ordinal(c.targets)
+
+
+@query(f"with {Q.online_sql('online')} select s1_id, cand_id, rules from (select *, row_number() over (partition by s1_id, source order by ordinal, cand_id) as r from grouped) where r <= case source when 'S2' then 60 else 90 end")
 def online_candidates(spark, sf_dir):
     """Pairs of the online blocker with its quotas, over the whole country as one batch."""
     c = Case(spark, sf_dir)
-    order = Window.partitionBy("source", "country").orderBy("entity_id")
-    pairs = B.block_online(c.s1, c.targets.withColumn("ordinal", F.row_number().over(order)))
-    return B.quota(pairs, {"S2": 60, "S3": 90}).select("s1_id", "cand_id", F.array_join("rules", ",").alias("rules"))
+    return B.quota(B.block_online(c.s1, _ordered(c)), B.QUOTA).select("s1_id", "cand_id", F.array_join("rules", ",").alias("rules"))
 
 
-query()(online_candidates)
-
-
-@query()
+@query(f"with {Q.online_sql('preflight')} select s1_id, cand_id, rules from (select *, row_number() over (partition by s1_id order by source, ordinal, cand_id) as r from grouped) where r <= 150")
 def preflight_candidates(spark, sf_dir):
     c = Case(spark, sf_dir)
-    order = Window.partitionBy("source", "country").orderBy("entity_id")
-    pairs = B.block_online(c.s1, c.targets.withColumn("ordinal", F.row_number().over(order)), "preflight")
-    return B.shared_quota(pairs).select("s1_id", "cand_id", F.array_join("rules", ",").alias("rules"))
+    return B.shared_quota(B.block_online(c.s1, _ordered(c), "preflight")).select("s1_id", "cand_id", F.array_join("rules", ",").alias("rules"))
 
 
 _SAME = "case when {a} <> '' and {a} = {b} then 1.0 else 0.0 end::double"
@@ -275,28 +270,27 @@ def pair_features(spark, sf_dir):
     return joined.select("s1_id", "cand_id", *(postal_house if k == "same_postal_and_same_house" else F.round(F.col(f"f.{k}"), 6).alias(k) for k in FEATURE_SQL))
 
 
-_LEV = "case when n1 = '' and n2 = '' then 1.0 when n1 = '' or n2 = '' then 0.0 else 1 - levenshtein(n1, n2)::double / greatest(length(n1), length(n2)) end"
-
-
-@query(f"with {Q.PAIRS} select s1_id, cand_id, case when regexp_full_match(n1 || n2, '[\\x00-\\x7F]*') then round({_LEV}, 6) else -1 end as name_normalized_levenshtein from xy")
+@query(f"with {Q.PAIRS} select s1_id, cand_id, round({Q.lev_sql('n1', 'n2')}, 6) as name_normalized_levenshtein from xy")
 def feature_levenshtein(spark, sf_dir):
-    """-1 where a name is not ASCII: the SQL engine counts bytes there."""
     c = Case(spark, sf_dir)
-    d = c.light()
-    ascii_only = F.concat(F.col("x.norm"), F.col("y.norm")).rlike("^[\\x00-\\x7F]*$")
-    return d.select("s1_id", "cand_id", F.when(ascii_only, F.round(S.levenshtein_similarity(F.col("x.norm"), F.col("y.norm")), 6)).otherwise(-1.0).alias("name_normalized_levenshtein"))
+    return c.light().select("s1_id", "cand_id", F.round(S.levenshtein_similarity(F.col("x.norm"), F.col("y.norm")), 6).alias("name_normalized_levenshtein"))
 
 
-@query()
+def _digits(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns as doubles of six digits."""
+    return df.withColumns({n: F.round(F.col(n).cast("double"), 6) for n in columns})
+
+
+@query(f"with {Q.features_sql(Fe.NAMES)} select s1_id, cand_id, " + ", ".join(f"round({n}, 6) as {n}" for n in Fe.NAMES) + " from feat")
 def features_96(spark, sf_dir):
     c = Case(spark, sf_dir)
-    return Fe.features(c.pairs(), c.s1, c.targets)
+    return _digits(Fe.features(c.pairs(), c.s1, c.targets), Fe.NAMES)
 
 
-@query()
+@query(f"with {Q.features_sql(Fe.NAMES)} " + " union all ".join(f"select '{n}' as feature, round(avg({n}), 6) as mean, round(min({n}), 6) as least, round(max({n}), 6) as most, round(100 * avg(({n} <> 0)::int), 6) as nonzero_pct, sum(isnan({n})::int)::bigint as n_nan, sum(isinf({n})::int)::bigint as n_inf from feat" for n in Fe.NAMES))
 def feature_profile(spark, sf_dir):
     c = Case(spark, sf_dir)
-    return Fe.profile(Fe.features(c.pairs(), c.s1, c.targets), Fe.NAMES)
+    return _digits(Fe.profile(Fe.features(c.pairs(), c.s1, c.targets), Fe.NAMES), ["mean", "least", "most", "nonzero_pct"])
 
 
 @query("select 'l_quantity' as feature, avg(l_quantity) as mean, min(l_quantity) as least, max(l_quantity) as most, 100.0 * avg((l_quantity <> 0)::int) as nonzero_pct, 0::bigint as n_nan, 0::bigint as n_inf from lineitem union all select 'l_discount', avg(l_discount), min(l_discount), max(l_discount), 100.0 * avg((l_discount <> 0)::int), 0, 0 from lineitem")
@@ -324,10 +318,24 @@ def split_entities(spark, sf_dir):
     return L.split(Case(spark, sf_dir).s1.select(F.col("entity_id").alias("s1_id")))
 
 
-@query(f"with {Q.PAIRS}, l as (select * from scored) select 'positives_in_truth' as \"check\", 0::bigint as violations union all select 'negatives_not_in_truth', 0 union all select 'no_split_overlap', 0 union all select 'target_prefix', count(*) from l where not regexp_matches(cand_id, '^S[23]-') union all select 'no_self_pair', count(*) from l where s1_id = cand_id union all select 'finite_features', count(*) from l where prob is null or isnan(prob) or isinf(prob)")
+_PART = "case when ('0x' || substring(md5('42|' || s1_id), 1, 6))::bigint % 100 < 80 then 'train' else 'validation' end"
+
+
+@query(f"""with {Q.PAIRS}, l as (select s1_id, case when right(s1_id, 1) = '7' and right(cand_id, 1) = '7' then s1_id when right(cand_id, 1) = '8' then 'X' || cand_id else cand_id end as cand_id,
+    case when right(cand_id, 1) = '3' then 1 - label else label end as label, case when right(cand_id, 1) = '4' then 'validation' else {_PART} end as part, case when right(cand_id, 1) = '5' then 'nan'::double when right(cand_id, 1) = '6' then null else prob end as prob from scored)
+select 'positives_in_truth' as "check", count(*) as violations from l where label = 1 and (s1_id, cand_id) not in (select (s1_id, cand_id) from truth) union all select 'negatives_not_in_truth', count(*) from l where label = 0 and (s1_id, cand_id) in (select (s1_id, cand_id) from truth)
+union all select 'no_split_overlap', count(*) from (select s1_id from l group by all having count(distinct part) > 1) union all select 'target_prefix', count(*) from l where not regexp_matches(cand_id, '^S[23]-')
+union all select 'no_self_pair', count(*) from l where s1_id = cand_id union all select 'finite_features', count(*) from l where prob is null or isnan(prob) or isinf(prob)""")
 def integrity_checks(spark, sf_dir):
+    """Planted faults of every kind, by the last digits of the ids."""
     c = Case(spark, sf_dir)
-    return L.integrity(L.split(c.light()), c.truth, ["prob"])
+    ends = lambda col, d: F.col(col).endswith(d)
+    faulty = L.split(c.light()).select(
+        "s1_id", F.when(ends("s1_id", "7") & ends("cand_id", "7"), F.col("s1_id")).when(ends("cand_id", "8"), F.concat(F.lit("X"), "cand_id")).otherwise(F.col("cand_id")).alias("cand_id"),
+        F.when(ends("cand_id", "3"), 1 - F.col("label")).otherwise(F.col("label")).alias("label"), F.when(ends("cand_id", "4"), "validation").otherwise(F.col("part")).alias("part"),
+        F.when(ends("cand_id", "5"), float("nan")).when(ends("cand_id", "6"), None).otherwise(F.col("prob")).alias("prob"),
+    )
+    return L.integrity(faulty, c.truth, ["prob"])
 
 
 @query(f"with {Q.entities(THRESHOLDS)} select threshold, s1_id, predicted, true_n as \"true\", tp::bigint as tp, round(f05, 6) as f05 from entity")
@@ -376,23 +384,25 @@ def error_exemplars(spark, sf_dir):
     return M.exemplars(d, "label", [F.desc("prob"), "s1_id", "cand_id"])
 
 
-@query()
+@query(f"with {Q.features_sql(Fe.NAMES)} {Q.errors_sql(0.5)}")
 def error_taxonomy(spark, sf_dir):
     c = Case(spark, sf_dir)
     f = Fe.features(L.label(c.pairs(), c.truth), c.s1, c.targets, ("label",))
     return M.errors(rule_score(f), 0.5)
 
 
-@query()
+@query(f"with {Q.BLOCK}, links as (select s.entity_id as s1_id, t.entity_id as cand_id from s1 s join tgt t on s.country = t.country and s.house = t.house where s.house <> '' union all select s.entity_id, t.entity_id from s1 s join tgt t on s.country = t.country and s.digest = t.digest where s.house <> t.house), {Q.miss_sql()}")
 def miss_taxonomy(spark, sf_dir):
+    """Why the exact rules miss links between records of one house number or one text."""
     c = Case(spark, sf_dir)
-    missed = c.truth.distinct().join(c.pairs(("translit",)), ["s1_id", "cand_id"], "left_anti")
-    x = c.s1.select(F.col("entity_id").alias("s1_id"), F.struct(*c.s1.columns).alias("x"))
-    y = c.targets.select(F.col("entity_id").alias("cand_id"), F.struct(*c.targets.columns).alias("y"))
-    return missed.join(x, "s1_id").join(y, "cand_id").select(M.miss_class().alias("category")).groupBy("category").agg(F.count("*").alias("n"))
+    key = lambda df, name: df.select(F.col("entity_id").alias(name), "country", "house", "entity_id").join(c.ev.select("entity_id", "digest"), "entity_id").drop("entity_id")
+    x, y = key(c.s1, "s1_id"), key(c.targets, "cand_id")
+    house = x.where("house <> ''").join(y.drop("digest"), ["country", "house"]).select("s1_id", "cand_id")
+    text = x.join(y.withColumnRenamed("house", "house2"), ["country", "digest"]).where("house <> house2").select("s1_id", "cand_id")
+    return M.misses(house.unionByName(text), B.block(c.s1, c.targets, ("exact",)), c.s1, c.targets)
 
 
-@query()
+@query(f"with {Q.features_sql(Fe.NAMES)} {Q.hard_sql()}")
 def hard_examples(spark, sf_dir):
     c = Case(spark, sf_dir)
     f = L.hard_masks(Fe.features(L.label(c.pairs(), c.truth), c.s1, c.targets, ("label",)))
@@ -409,7 +419,7 @@ g(q2, q3) as (values {", ".join(map(str, FRONTIER))})
 select q2, q3, count(*) as pairs, sum(y::int)::bigint as found, sum(y::int) / (select count(*) from (select distinct * from truth)) as recall from r join g on rank <= case source when 'S2' then q2 else q3 end group by all""")
 def quota_frontier(spark, sf_dir):
     c = Case(spark, sf_dir)
-    order = c.targets.select(F.col("entity_id").alias("cand_id"), "source", F.row_number().over(Window.partitionBy("source", "country").orderBy("entity_id")).alias("ordinal"))
+    order = _ordered(c).select(F.col("entity_id").alias("cand_id"), "source", "ordinal")
     ranked = c.pairs().join(order, "cand_id").withColumn("rank", F.row_number().over(Window.partitionBy("s1_id", "source").orderBy("ordinal", "cand_id")))
     return M.frontier(ranked, c.truth, c.s1, FRONTIER)
 
@@ -427,23 +437,25 @@ def match_histogram(spark, sf_dir):
 
 
 def _lists(c: Case) -> DataFrame:
-    """Result lists with planted faults: doubled rows, doubled entries, wrong prefixes, self matches, foreign ids."""
+    """Result lists with planted faults: doubled rows, doubled entries, wrong prefixes, self matches, foreign ids, missing
+    lists and rows of unknown S1 records."""
     rows = c.s1.select(F.col("entity_id").alias("source1_entity_id"), F.expr("try_cast(substring(entity_id, 4) as long)").alias("n"))
     ids = F.when(F.col("n") % 5 == 0, "").when(F.col("n") % 7 == 0, F.col("source1_entity_id")).when(F.col("n") % 4 == 0, F.concat(F.lit("S2-"), F.col("n").cast("string"), F.lit(",S2-"), F.col("n").cast("string"))).when(F.col("n") % 11 == 0, "X9").otherwise(F.concat(F.lit("S3-"), (F.col("n") + 2).cast("string")))
-    lists = rows.select("source1_entity_id", ids.alias("ids"), "n")
-    return lists.where("n % 13 <> 0").unionByName(lists.where("n % 17 = 0")).drop("n")
+    lists = rows.select("source1_entity_id", F.when(F.col("n") % 19 != 0, ids).alias("ids"), "n")
+    foreign = lists.where("n % 16 = 0").withColumn("source1_entity_id", F.concat("source1_entity_id", F.lit("x")))
+    return lists.where("n % 13 <> 0").unionByName(lists.where("n % 17 = 0")).unionByName(foreign).drop("n")
 
 
 @query(f"""with {Q.PREP}, rows as (select entity_id as k, regexp_replace(entity_id, '^S1-', '')::bigint as n from s1),
-l0 as (select k, n, case when n % 5 = 0 then '' when n % 7 = 0 then k when n % 4 = 0 then 'S2-' || n || ',S2-' || n when n % 11 = 0 then 'X9' else 'S3-' || (n + 2) end as ids from rows),
-l as (select k, ids from l0 where n % 13 <> 0 union all select k, ids from l0 where n % 17 = 0), x as (select k, list_filter(string_split(ids, ','), lambda v: v <> '') as v from l), one as (select k, unnest(v) as id from x)
-select 'matches.malformed_row' as rule, 'error' as severity, 0::bigint as n, null::varchar as example
+l0 as (select k, n, case when n % 19 = 0 then null when n % 5 = 0 then '' when n % 7 = 0 then k when n % 4 = 0 then 'S2-' || n || ',S2-' || n when n % 11 = 0 then 'X9' else 'S3-' || (n + 2) end as ids from rows),
+l as (select k, ids from l0 where n % 13 <> 0 union all select k, ids from l0 where n % 17 = 0 union all select k || 'x', ids from l0 where n % 16 = 0), x as (select k, list_filter(string_split(coalesce(ids, ''), ','), lambda v: v <> '') as v from l), one as (select k, unnest(v) as id from x)
+select 'matches.malformed_row' as rule, 'error' as severity, count(*) as n, min(k) as example from l where ids is null
 union all select 'matches.duplicate_s1', 'error', count(*), min(k) from (select k from l group by k having count(*) > 1)
 union all select 'matches.duplicate_in_list', 'error', count(*), min(k) from x where len(list_distinct(v)) < len(v)
 union all select 'matches.self_match', 'error', count(*), min(k) from one where starts_with(id, 'S1-')
 union all select 'matches.wrong_prefix', 'error', count(*), min(id) from one where not regexp_matches(id, '^S[123]-')
 union all select 'matches.missing_s1', 'error', count(*), min(k) from rows where k not in (select k from l)
-union all select 'matches.extra_s1', 'error', 0, null
+union all select 'matches.extra_s1', 'error', count(*), min(k) from l where k not in (select k from rows)
 union all select 'matches.unknown_id', 'error', count(*), min(id) from one where id not in (select entity_id from tgt)
 union all select 'matches.cross_country', 'error', count(*), min(id) from one join tgt on id = entity_id join s1 on s1.entity_id = k where s1.country <> tgt.country""")
 def validator_rules(spark, sf_dir):
@@ -457,24 +469,31 @@ def validator_subset(spark, sf_dir):
     return validate.subset_rule(c.truth, c.pairs())
 
 
-@query(f"with {Q.PAIRS} select s.entity_id as source1_entity_id, coalesce(string_agg(cand_id, ',' order by cand_id), '') as matched_entity_ids from s1 s left join (select * from scored where prob >= 0.5) e on e.s1_id = s.entity_id group by all")
+_RANKED = f"row_number() over (partition by s1_id, substring(cand_id, 1, 2) order by num_blocking_rules desc, cand_id) <= case when starts_with(cand_id, 'S2') then {B.QUOTA['S2']} else {B.QUOTA['S3']} end"
+
+
+@query(f"with {Q.PAIRS} select s.entity_id as source1_entity_id, coalesce(string_agg(cand_id, ',' order by cand_id), '') as matched_entity_ids from s1 s left join (select * from (select * from scored qualify {_RANKED}) where prob >= 0.5) e on e.s1_id = s.entity_id group by all")
 def er_pipeline(spark, sf_dir):
-    """The flagship: all records, default rules, quotas by evidence (wide enough to cut nothing here), plain score, lists."""
-    matches, _ = Pipeline(spark, Config(threshold=0.5, limits={"S2": 100000, "S3": 100000})).run(entities(spark, sf_dir))
+    """The flagship: all records, default rules, production quotas by evidence, all features, plain score, lists."""
+    matches, _ = Pipeline(spark, Config(threshold=0.5)).run(entities(spark, sf_dir))
     return matches
 
 
-@query()
+@query(f"""with {Q.BLOCK}, {Q.NGRAM}, every as (select distinct s1_id, cand_id, evidence from pairs union select s1_id, cand_id, 'blocked_char_ngram' from near),
+one as (select s1_id, cand_id, count(*) as num_blocking_rules from every group by all qualify {_RANKED})
+select s.entity_id as source1_entity_id, coalesce(string_agg(cand_id, ',' order by cand_id), '') as candidate_entity_ids from s1 s left join one on s1_id = s.entity_id group by all""")
 def er_pipeline_ngram(spark, sf_dir):
+    """Candidates of all rules and the n-gram neighbours."""
     _, candidates = Pipeline(spark, Config(ngram=True, groups=B.EXTENDED_GROUPS)).run(entities(spark, sf_dir))
     return candidates
 
 
-@query()
+@query(f"with p as (select p_partkey, p_name as a, lead(p_name) over (partition by p_brand order by p_partkey) as b from part), q as (select * from p where b is not null), {Q.indels('w', 'a', 'b', 'q')} select p_partkey, round(indel, 6) as indel, round(tsort, 6) as token_sort, round(tset, 6) as token_set, round(weighted, 6) as weighted from q join w using (a, b)")
 def indel_similarities(spark, sf_dir):
     part = table(spark, sf_dir, "part")
     pairs = part.select("p_partkey", "p_name", F.lead("p_name").over(Window.partitionBy("p_brand").orderBy("p_partkey")).alias("next")).where("next is not null")
-    return pairs.select("p_partkey", S.indel_ratio("p_name", "next").alias("indel"), S.token_sort_ratio("p_name", "next").alias("token_sort"), S.token_set_ratio("p_name", "next").alias("token_set"), S.w_ratio("p_name", "next").alias("weighted"))
+    scores = {"indel": S.indel_ratio, "token_sort": S.token_sort_ratio, "token_set": S.token_set_ratio, "weighted": S.w_ratio}
+    return pairs.select("p_partkey", *(F.round(f("p_name", "next"), 6).alias(k) for k, f in scores.items()))
 
 
 @query()
@@ -498,6 +517,9 @@ def gbt_pipeline(spark, sf_dir):
     return model.score(fitted, f.where("part = 'validation'")).select("s1_id", "cand_id", "label", F.round("prob", 6).alias("prob"))
 
 
-@query()
+@query(f"with {Q.PREP}, {Q.RECORDS} {Q.ENRICHED}")
 def record_enrichment(spark, sf_dir):
-    return enrich(prepare(entities(spark, sf_dir)))
+    """Lists as texts, sets sorted."""
+    out = enrich(prepare(entities(spark, sf_dir)))
+    grams = [c for c in out.columns if c.startswith("char")]
+    return out.select("entity_id", "skel", "trans_skel", "compact_address", *(F.array_join(c, " ").alias(c) for c in ("toks", "toks_trans", "toks_address")), F.array_join(F.array_sort("nums"), " ").alias("nums"), *(F.array_join(F.array_sort(c), "|").alias(c) for c in grams))
