@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Words and rules that results depend on, in the order in which they apply.
-PREFIX = r"(?i)^(?:m/s\.?|m/s|ms\.?|smt\.?|shri\.?|mr\.?|mrs\.?|dr\.?|<<|>>|--|\*\*\*|#+)\s*"
+PREFIX = r"(?i)^(?:(?:m/s|ms|smt|shri|mr|mrs|dr)\.?|<<|>>|--|\*\*\*|#+)\s*"
 LEGAL = [
     "private limited", "pvt ltd", "pvt limited", "private ltd", "p limited", "limited liability company", "limited liability partnership",
     "societe anonyme", "societe a responsabilite limitee", "incorporated", "corporation", "proprietorship", "enterprise", "enterprises",

@@ -1,7 +1,7 @@
 """Blocking: all rules are one equi join on (country, rule, key) over exploded postings.
 
-Targets and probes explode to (country, rule, key, id) rows; a bucket over its rule's cap is left out before the join, by
-counts combined before the shuffle, so the hottest keys never reach the join. MODES are the three rule sets of the
+Targets and probes explode to (country, rule, key, id) rows; a bucket over its rule's cap is left out before the join of
+both sides, by counts combined before the shuffle. MODES are the three rule sets of the
 engine: offline, online (first-n caps in the order of `ordinal`) and preflight.
 """
 
@@ -119,11 +119,12 @@ def postings(records: DataFrame, keys: list[Key], side: str) -> DataFrame:
 
 
 def capped(posted: DataFrame, keys: list[Key]) -> DataFrame:
-    """Postings of buckets that are not over their cap."""
+    """Postings of buckets that are not over their cap. Only the keys of the others, at most one for each `cap` postings, are
+    joined back: adaptive execution broadcasts them where they are few, and splits hot keys where they are not."""
     caps = F.create_map([x for k in keys for x in (F.lit(k.name), F.lit(k.cap if k.cap is not None else 1 << 60))])
     sizes = posted.groupBy("country", "rule", "key").agg(F.count("*").alias("n"))
-    fit = sizes.where(F.col("n") <= caps[F.col("rule")]).select("country", "rule", "key")
-    return posted.join(fit, ["country", "rule", "key"], "left_semi")
+    over = sizes.where(F.col("n") > caps[F.col("rule")]).select("country", "rule", "key")
+    return posted.join(over, ["country", "rule", "key"], "left_anti")
 
 
 def block(s1: DataFrame, targets: DataFrame, groups: tuple[str, ...] = DEFAULT_GROUPS) -> DataFrame:
@@ -224,32 +225,48 @@ def shared_quota(pairs: DataFrame, limit: int = 150) -> DataFrame:
     return one.withColumn("_r", rank).where(F.col("_r") <= limit).drop("_r")
 
 
-def ngram_neighbours(s1: DataFrame, targets: DataFrame, sizes: tuple[int, ...] = (3, 4, 5), k: int = 10, floor: float = 0.4, least_df: int = 2, share_df: float = 0.25) -> DataFrame:
+def ngram_neighbours(s1: DataFrame, targets: DataFrame, sizes: tuple[int, ...] = (3, 4, 5), k: int = 10, floor: float = 0.4, least_df: int = 2, share_df: float = 0.25, reach: float = 0.5) -> DataFrame:
     """TF-IDF top-k join on character n-grams of names within words: s1_id, cand_id, sim (rounded to six digits).
 
     A word is padded with a blank at either side; a word shorter than n counts once. The vocabulary is that of the targets
-    of a country. Grams in more than `share_df` of them carry little weight and are no keys, which bounds the join.
+    of a country; grams in more than `share_df` of them are left out.
+
+    Prefix filter: in the order from rare grams to frequent ones, a vector's prefix ends where the norm of the rest falls
+    below reach * floor. Two vectors with a similarity of floor share a gram of both prefixes, and what all such grams
+    add up to is less than reach * floor below it. So only prefixes are joined, which leaves out the most frequent grams,
+    and only pairs that can still get to the floor are compared whole.
     """
     name = F.when(F.col("has_indic"), F.col("trans")).otherwise(F.col("norm"))
+    short = reach * floor
+    tasks = int(s1.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def grams(records: DataFrame, name) -> DataFrame:
+        """Dealt out by id, which all that follows is grouped by; in a fixed number of parts, as what comes of them is large."""
         padded = F.transform(X.tokens(F.lower(name)), lambda t: F.concat(F.lit(" "), t, F.lit(" ")))
         per = lambda n: F.flatten(F.transform(padded, lambda w: F.when(F.length(w) >= n, F.transform(F.sequence(F.lit(1), F.greatest(F.length(w) - n + 1, F.lit(1))), lambda i: F.substring(w, i, F.lit(n)))).otherwise(F.array(w))))
-        return records.select("country", F.col("entity_id").alias("id"), F.explode(F.concat(*map(per, sizes))).alias("gram")).groupBy("country", "id", "gram").agg(F.count("*").alias("tf"))
+        every = records.select("country", F.col("entity_id").alias("id"), F.concat(*map(per, sizes)).alias("grams")).repartition(tasks, "id")
+        return every.select("country", "id", F.explode("grams").alias("gram")).groupBy("country", "id", "gram").agg(F.count("*").alias("tf"))
 
     posted = grams(targets, name)
     totals = targets.groupBy("country").agg(F.count("*").alias("n"))
-    df = posted.groupBy("country", "gram").agg(F.count("*").alias("df")).join(F.broadcast(totals), "country")
+    df = posted.groupBy("country", "gram").agg(F.count("*").alias("df")).join(F.broadcast(totals), "country")  # one row a country
     small = F.col("n") < 10
-    used = df.where(small | ((F.col("df") >= least_df) & (F.col("df") <= share_df * F.col("n")))).select("country", "gram", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
-
-    def weights(rows: DataFrame) -> DataFrame:
-        w = rows.join(used, ["country", "gram"]).select("country", "gram", "id", (F.col("tf") * F.col("idf")).alias("w"))
-        norms = w.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-        return w.join(norms, "id").select("country", "gram", "id", (F.col("w") / F.col("norm")).alias("w"))
-
-    t = weights(posted).select("country", "gram", F.col("id").alias("cand_id"), F.col("w").alias("w2"))
-    s = weights(grams(s1, F.col("norm"))).select("country", "gram", F.col("id").alias("s1_id"), "w")
-    sims = s.join(t, ["country", "gram"]).groupBy("s1_id", "cand_id").agg(F.round(F.sum(F.col("w") * F.col("w2")), 6).alias("sim"))
+    used = df.where(small | ((F.col("df") >= least_df) & (F.col("df") <= share_df * F.col("n")))).select("country", "gram", "df", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
+
+    def weights(rows: DataFrame, key: str, w: str) -> DataFrame:
+        """Unit vectors, and for each gram the norm of it and all more frequent ones."""
+        raw = rows.join(used, ["country", "gram"]).select("country", "gram", "id", "df", (F.col("tf") * F.col("idf")).alias("w"))
+        square, one = F.col("w") * F.col("w"), Window.partitionBy("id")
+        rest = raw.withColumns({"norm": F.sqrt(F.sum(square).over(one)), "rest": F.sqrt(F.sum(square).over(one.orderBy(F.desc("df"), F.desc("gram")).rowsBetween(Window.unboundedPreceding, 0)))})
+        return rest.select("country", "gram", F.col("id").alias(key), (F.col("w") / F.col("norm")).alias(w), (F.col("rest") / F.col("norm")).alias("rest"))
+
+    s, t = weights(grams(s1, F.col("norm")), "s1_id", "w"), weights(posted, "cand_id", "w2")
+    prefix = lambda rows: rows.where(F.col("rest") >= short - 1e-9).drop("rest")
+    sums = prefix(s).join(prefix(t), ["country", "gram"]).groupBy("s1_id", "cand_id").agg(F.sum(F.col("w") * F.col("w2")).alias("part"))
+    able = sums.where(F.col("part") >= floor - short - 1e-6).select("s1_id", "cand_id")
+    left = s.groupBy("s1_id").agg(F.collect_list(F.struct("gram", "w")).alias("l"))
+    right = t.groupBy("cand_id").agg(F.map_from_entries(F.collect_list(F.struct("gram", "w2"))).alias("m"))
+    dot = F.aggregate("l", F.lit(0.0), lambda total, e: total + e["w"] * F.coalesce(F.try_element_at("m", e["gram"]), F.lit(0.0)))
+    sims = able.join(left, "s1_id").join(right, "cand_id").select("s1_id", "cand_id", F.round(dot, 6).alias("sim")).where(F.col("sim") >= floor)
     rank = F.row_number().over(Window.partitionBy("s1_id").orderBy(F.desc("sim"), "cand_id"))
-    return sims.withColumn("_r", rank).where((F.col("_r") <= k) & (F.col("sim") >= floor)).drop("_r")
+    return sims.withColumn("_r", rank).where(F.col("_r") <= k).drop("_r")

@@ -56,6 +56,32 @@ def sample_negatives(labelled: DataFrame, times: float = 4.0, seed: int = 42) ->
     return labelled.where("label = 1").unionByName(kept.select(labelled.columns))
 
 
+RATIOS = (1.0, 2.0, 3.0, 4.0, 5.0)
+
+
+def ratio_table(labelled: DataFrame, ratios: tuple[float, ...] = RATIOS) -> DataFrame:
+    """ratio, positives, negatives, total, per_positive, positive_pct: what each ratio of negatives to positives would keep
+    (two negatives at least for an S1 with positives), and all negatives as ratio 0."""
+    per = labelled.groupBy("s1_id").agg(F.sum("label").alias("p"), F.sum(1 - F.col("label")).alias("n"))
+    grid = F.explode(F.array(*map(F.lit, (0.0, *map(float, ratios))))).alias("ratio")
+    wanted = F.when(F.col("ratio") == 0, F.col("n")).when(F.col("p") > 0, F.greatest(F.lit(2), F.floor(F.col("p") * F.col("ratio")))).otherwise(F.floor("ratio"))
+    sums = per.select("p", "n", grid).groupBy("ratio").agg(F.sum("p").alias("positives"), F.sum(F.least("n", wanted)).alias("negatives"))
+    total = F.col("positives") + F.col("negatives")
+    div = lambda a, b: F.when(b > 0, a / b).otherwise(0.0)
+    return sums.select("ratio", "positives", "negatives", total.alias("total"), div(F.col("negatives"), F.col("positives")).alias("per_positive"), div(100 * F.col("positives"), total).alias("positive_pct"))
+
+
+def sampling_statistics(s1: DataFrame, labelled: DataFrame, sampled: DataFrame) -> DataFrame:
+    """what, mean, median, p95, most, none: of the positives, negatives, sampled negatives and candidates of an S1 record."""
+    count = lambda df, name: df.groupBy("s1_id").agg(F.count("*").alias(name))
+    counts = {"positives": labelled.where("label = 1"), "negatives": labelled.where("label = 0"), "sampled_negatives": sampled.where("label = 0"), "candidates": labelled}
+    full = s1.select(F.col("entity_id").alias("s1_id"))
+    for name, df in counts.items():
+        full = full.join(count(df, name), "s1_id", "left")
+    rows = full.na.fill(0).select(F.explode(F.array(*(F.struct(F.lit(n).alias("what"), F.col(n).alias("n")) for n in counts))).alias("e")).select("e.*")
+    return rows.groupBy("what").agg(F.avg("n").alias("mean"), F.expr("percentile(n, 0.5)").alias("median"), F.expr("percentile(n, 0.95)").alias("p95"), F.max("n").alias("most"), F.sum((F.col("n") == 0).cast("long")).alias("none"))
+
+
 def integrity(labelled: DataFrame, truth: DataFrame, features: list[str] = ()) -> DataFrame:
     """check, violations: positives outside truth, negatives in truth, entities in both parts, wrong targets, self pairs,
     non-finite features. labelled: s1_id, cand_id, label, part, features."""

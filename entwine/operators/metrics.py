@@ -156,13 +156,76 @@ def bands(scored: DataFrame, prob: str = "prob") -> DataFrame:
     return scored.agg(n(p >= 0.99).alias("sure"), n(p <= 0.01).alias("impossible"), n((p >= 0.75) & (p <= 0.85)).alias("doubtful"), F.count("*").alias("pairs"))
 
 
-def frontier(ranked: DataFrame, truth: DataFrame, s1: DataFrame, configs: list[tuple[int, int]]) -> DataFrame:
-    """q2, q3, pairs, found, recall for quotas of S2 and S3. ranked: s1_id, cand_id, source, rank (within S1 and source)."""
-    grid = F.array(*(F.struct(F.lit(a).alias("q2"), F.lit(b).alias("q3")) for a, b in configs))
-    marked = ranked.join(truth.select("s1_id", "cand_id").distinct().withColumn("_y", F.lit(1)), ["s1_id", "cand_id"], "left")
-    kept = marked.select("rank", "source", F.coalesce("_y", F.lit(0)).alias("y"), F.explode(grid).alias("q")).where(F.col("rank") <= F.when(F.col("source") == "S2", F.col("q.q2")).otherwise(F.col("q.q3")))
-    links = truth.select("s1_id", "cand_id").distinct().agg(F.count("*").alias("links"))
-    return kept.groupBy("q.q2", "q.q3").agg(F.count("*").alias("pairs"), F.sum("y").alias("found")).crossJoin(links).select("q2", "q3", "pairs", "found", (F.col("found") / F.col("links")).alias("recall"))
+#: Candidate limits that are compared: name, S2, S3, both together (S2 first); None: no limit.
+FRONTIER = [
+    ("shared_150", None, None, 150), ("75_75", 75, 75, None), ("70_80", 70, 80, None), ("80_70", 80, 70, None), ("60_90", 60, 90, None), ("90_60", 90, 60, None), ("100_100", 100, 100, None), ("unbounded", None, None, None),
+]
+
+
+def frontier(ranked: DataFrame, truth: DataFrame, s1: DataFrame, threshold: float, configs: list[tuple] = FRONTIER) -> DataFrame:
+    """One row a limit: pairs, mean, p95 and most candidates, pairs and recall by source, macro F0.5 of the pairs with a
+    score of at least threshold, and true links that it recovers and drops against the first limit.
+
+    ranked: s1_id, cand_id, source, rank (in S1 and source), place (in S1 over both sources), prob.
+    """
+    most = F.lit(1 << 60)
+    grid = F.array(*(F.struct(F.lit(n).alias("config"), *(F.lit(v if v is not None else 1 << 60).alias(k) for k, v in (("q2", a), ("q3", b), ("q", c)))) for n, a, b, c in configs))
+    known = truth.select("s1_id", "cand_id").distinct()
+    marked = ranked.join(known.withColumn("_y", F.lit(1)), ["s1_id", "cand_id"], "left")
+    kept = marked.select("s1_id", "cand_id", "source", "rank", "place", "prob", F.coalesce("_y", F.lit(0)).alias("y"), F.explode(grid).alias("g"))
+    fits = (F.col("rank") <= F.when(F.col("source") == "S2", F.col("g.q2")).otherwise(F.col("g.q3"))) & (F.col("place") <= F.least("g.q", most))
+    s2, hit, base = F.col("source") == "S2", fits & (F.col("y") == 1), configs[0]
+    first = (F.col("rank") <= F.when(s2, F.lit(base[1] if base[1] is not None else 1 << 60)).otherwise(F.lit(base[2] if base[2] is not None else 1 << 60))) & (F.col("place") <= (base[3] if base[3] is not None else 1 << 60))
+    n = lambda c: F.sum(c.cast("long"))
+    named = kept.withColumn("config", F.col("g.config"))
+    per = named.groupBy("config", "s1_id").agg(
+        n(fits).alias("n"), n(fits & s2).alias("n2"), n(hit).alias("found"), n(hit & s2).alias("found2"), n(hit & ~first).alias("recovered"), n((F.col("y") == 1) & first & ~fits).alias("dropped"),
+        n(fits & (F.col("prob") >= threshold)).alias("predicted"), n(hit & (F.col("prob") >= threshold)).alias("tp"),
+    )
+    true = known.groupBy("s1_id").agg(F.count("*").alias("true"), n(F.col("cand_id").startswith("S2-")).alias("true2"))
+    spine = s1.select(F.col("entity_id").alias("s1_id"), F.explode(F.array(*(F.lit(c[0]) for c in configs))).alias("config")).join(true, "s1_id", "left")
+    full = spine.join(per, ["config", "s1_id"], "left").na.fill(0)
+    share = lambda a, b: F.when(F.sum(b) > 0, F.sum(a) / F.sum(b)).otherwise(0.0)
+    c = F.col
+    return full.groupBy("config").agg(
+        F.sum("n").alias("pairs"), F.avg("n").alias("mean_candidates"), F.expr("percentile(n, 0.95)").alias("p95_candidates"), F.max("n").alias("max_candidates"), F.sum("n2").alias("pairs_s2"), F.sum(c("n") - c("n2")).alias("pairs_s3"), F.sum("found").alias("found"),
+        share(c("found"), c("true")).alias("recall"), share(c("found2"), c("true2")).alias("recall_s2"), share(c("found") - c("found2"), c("true") - c("true2")).alias("recall_s3"), F.avg(f05(c("tp"), c("predicted"), c("true"))).alias("macro_f05"), F.sum("recovered").alias("recovered"), F.sum("dropped").alias("dropped"),
+    )
+
+
+def recall_split(truth: DataFrame, pairs: DataFrame, s1: DataFrame, targets: DataFrame) -> DataFrame:
+    """split, links, found, recall: over all, by country of the S1 record, and by script (cross: the target is Indic)."""
+    hits = truth.join(pairs.select("s1_id", "cand_id").distinct().withColumn("_hit", F.lit(1)), ["s1_id", "cand_id"], "left")
+    named = hits.join(s1.select(F.col("entity_id").alias("s1_id"), "country"), "s1_id").join(targets.select(F.col("entity_id").alias("cand_id"), "has_indic"), "cand_id")
+    splits = F.explode(F.array(F.lit("all"), F.concat(F.lit("country "), "country"), F.when(F.col("has_indic"), "script cross").otherwise("script latin"))).alias("split")
+    return named.select(splits, F.coalesce("_hit", F.lit(0)).alias("hit")).groupBy("split").agg(F.count("*").alias("links"), F.sum("hit").alias("found")).withColumn("recall", F.col("found") / F.col("links"))
+
+
+def match_split(s1: DataFrame, matches: DataFrame) -> DataFrame:
+    """split, entities, matched, rate by country, script and presence of an address of the S1 record, and for each source
+    the matches (as entities and matched) with their share. s1: prepared; matches: s1_id, cand_id."""
+    some = matches.select("s1_id").distinct().withColumn("_m", F.lit(1))
+    there = ~((F.col("address") == "") | F.col("address").isin("none", "null", "undefined"))
+    splits = F.array(F.concat(F.lit("country "), "country"), F.when(F.col("has_indic"), "script indic").otherwise("script latin"), F.when(there, "address present").otherwise("address missing"))
+    hits = s1.join(some, F.col("entity_id") == F.col("s1_id"), "left").select(F.explode(splits).alias("split"), F.coalesce("_m", F.lit(0)).alias("m"))
+    rates = hits.groupBy("split").agg(F.count("*").alias("entities"), F.sum("m").alias("matched")).withColumn("rate", F.col("matched") / F.col("entities"))
+    total = matches.agg(F.count("*").alias("_all"))  # one row
+    by_source = matches.groupBy(F.concat(F.lit("source "), F.substring("cand_id", 1, 2)).alias("split")).agg(F.count("*").alias("entities")).crossJoin(total)
+    return rates.unionByName(by_source.select("split", "entities", F.col("entities").alias("matched"), (F.col("entities") / F.col("_all")).alias("rate")))
+
+
+def separation(table: DataFrame) -> DataFrame:
+    """category, pos, neg, and the mean sem_name and sem_both of positive and negative pairs with their difference, in the
+    classes that names and addresses tell apart badly. table: features, label, sem_name, sem_both."""
+    c = F.col
+    classes = {
+        "acronym": c("name_normalized_levenshtein") < 0.65, "missing_address": c("candidate_address_missing") == 1, "cross_script": c("is_cross_script") == 1, "typo": (c("name_levenshtein_ratio") >= 0.65) & (c("name_levenshtein_ratio") < 0.85),
+        "homonym": (c("label") == 0) & (c("name_exact_diff_address") == 1),
+    }
+    inside = F.explode(F.filter(F.array(*(F.when(v, F.lit(k)) for k, v in classes.items())), lambda x: x.isNotNull())).alias("category")
+    mean = lambda col, y: F.coalesce(F.avg(F.when(c("label") == y, c(col))), F.lit(0.0))
+    out = table.select("label", "sem_name", "sem_both", inside).groupBy("category").agg(F.sum("label").alias("pos"), F.sum(1 - c("label")).alias("neg"), *(mean(col, y).alias(f"{n}_{col}") for col in ("sem_name", "sem_both") for n, y in (("pos", 1), ("neg", 0))))
+    return out.withColumns({"name_separation": c("pos_sem_name") - c("neg_sem_name"), "both_separation": c("pos_sem_both") - c("neg_sem_both")})
 
 
 def match_rates(s1: DataFrame, matches: DataFrame, by: str) -> DataFrame:

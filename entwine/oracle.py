@@ -203,6 +203,13 @@ def hardness() -> str:
       + case when p1 <> '' and p1 = p2 then 3 else 0 end + case when h1 <> '' and h1 = h2 then 2 else 0 end)::double"""
 
 
+SAMPLED = f"""h as (select s1_id, cand_id, label, {hardness()} as hardness from scored),
+per as (select s1_id, sum(label) as p, sum(1 - label) as n from h group by all),
+b as (select *, floor(budget * 0.8) as hard from (select s1_id, case when p > 0 then least(n, greatest(2, least(25, floor(p * 4)))) else least(n, 3) end as budget from per)),
+r as (select h.*, b.budget, b.hard, row_number() over (partition by h.s1_id order by hardness desc, cand_id) as r from h join b using (s1_id) where label = 0),
+q as (select *, row_number() over (partition by s1_id, r <= hard order by md5('42|' || s1_id || '|' || cand_id)) as q from r),
+sampled as (select s1_id, cand_id, label, hardness from h where label = 1 union all select s1_id, cand_id, label, hardness from q where r <= hard or q <= budget - hard)"""
+
 F05 = "case when true_n = 0 and predicted = 0 then 1.0 when true_n = 0 or predicted = 0 or tp = 0 then 0.0 else 1.25 * (tp / predicted) * (tp / true_n) / (0.25 * tp / predicted + tp / true_n) end"
 
 

@@ -6,6 +6,7 @@ the next ones with the length and a code the address, its language the country;
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -23,6 +24,7 @@ from .operators import metrics as M
 from .operators import model, validate
 from .operators.prepare import enrich, prepare, preprocess
 from .plans.pipeline import Config, Pipeline, rule_score
+from .sources import records as R
 from .sources.records import spine_lists, with_ordinal
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -303,12 +305,7 @@ def hardness(spark, sf_dir):
     return Case(spark, sf_dir).light().select("s1_id", "cand_id", "label", L.hardness().alias("hardness"))
 
 
-@query(f"""with {Q.PAIRS}, h as (select s1_id, cand_id, label, {Q.hardness()} as hardness from scored),
-per as (select s1_id, sum(label) as p, sum(1 - label) as n from h group by all),
-b as (select *, floor(budget * 0.8) as hard from (select s1_id, case when p > 0 then least(n, greatest(2, least(25, floor(p * 4)))) else least(n, 3) end as budget from per)),
-r as (select h.*, b.budget, b.hard, row_number() over (partition by h.s1_id order by hardness desc, cand_id) as r from h join b using (s1_id) where label = 0),
-q as (select *, row_number() over (partition by s1_id, r <= hard order by md5('42|' || s1_id || '|' || cand_id)) as q from r)
-select s1_id, cand_id, label, hardness from h where label = 1 union all select s1_id, cand_id, label, hardness from q where r <= hard or q <= budget - hard""")
+@query(f"with {Q.PAIRS}, {Q.SAMPLED} select * from sampled")
 def sample_negatives(spark, sf_dir):
     return L.sample_negatives(Case(spark, sf_dir).light().select("s1_id", "cand_id", "label", L.hardness().alias("hardness")))
 
@@ -410,18 +407,151 @@ def hard_examples(spark, sf_dir):
     return f.agg(*(F.sum(F.col(m).cast("long")).alias(m) for m in masks))
 
 
-FRONTIER = [(1, 1), (2, 3), (6, 9), (60, 90)]
-
-
-@query(f"""with {Q.BLOCK}, o as (select entity_id as cand_id, source, {ORDINAL} as ordinal from tgt),
-r as (select e.*, source, row_number() over (partition by s1_id, source order by ordinal, cand_id) as rank, (s1_id, cand_id) in (select (s1_id, cand_id) from truth) as y from ev_pairs e join o using (cand_id)),
-g(q2, q3) as (values {", ".join(map(str, FRONTIER))})
-select q2, q3, count(*) as pairs, sum(y::int)::bigint as found, sum(y::int) / (select count(*) from (select distinct * from truth)) as recall from r join g on rank <= case source when 'S2' then q2 else q3 end group by all""")
+def _limits_sql() -> str:
+    out = []
+    for name, q2, q3, q in M.FRONTIER:
+        tests = [f"rank <= case source when 'S2' then {q2 or 1 << 60} else {q3 or 1 << 60} end", f"place <= {q or 1 << 60}"]
+        out.append(f"select '{name}' as config, *, {' and '.join(tests)} as fits from r")
+    return " union all ".join(out)
+
+
+@query(f"""with {Q.PAIRS}, o as (select entity_id as cand_id, source, {ORDINAL} as ordinal from tgt), known as (select distinct * from truth),
+r as (select s1_id, cand_id, source, prob, row_number() over (partition by s1_id, source order by ordinal, cand_id) as rank, row_number() over (partition by s1_id order by source, ordinal, cand_id) as place, (s1_id, cand_id) in (select (s1_id, cand_id) from known) as y from scored join o using (cand_id)),
+g as ({_limits_sql()}),
+per as (select g.config, g.s1_id, sum(fits::int) as n, sum((fits and source = 'S2')::int) as n2, sum((fits and y)::int) as found, sum((fits and y and source = 'S2')::int) as found2, sum((fits and y and place > 150)::int) as recovered, sum((y and place <= 150 and not fits)::int) as dropped,
+  sum((fits and prob >= 0.5)::int) as predicted, sum((fits and y and prob >= 0.5)::int) as tp from g group by all),
+t as (select s1_id, count(*) as true_n, sum(starts_with(cand_id, 'S2-')::int) as true2 from known group by all),
+f as (select c.config, coalesce(n, 0) as n, coalesce(n2, 0) as n2, coalesce(found, 0) as found, coalesce(found2, 0) as found2, coalesce(recovered, 0) as recovered, coalesce(dropped, 0) as dropped, coalesce(predicted, 0) as predicted, coalesce(tp, 0) as tp, coalesce(true_n, 0) as true_n, coalesce(true2, 0) as true2
+  from s1 cross join (select unnest([{", ".join(f"'{c[0]}'" for c in M.FRONTIER)}]) as config) c left join per on per.s1_id = entity_id and per.config = c.config left join t on t.s1_id = entity_id)
+select config, sum(n)::bigint as pairs, avg(n) as mean_candidates, quantile_cont(n, 0.95) as p95_candidates, max(n)::bigint as max_candidates, sum(n2)::bigint as pairs_s2, sum(n - n2)::bigint as pairs_s3, sum(found)::bigint as found, case when sum(true_n) > 0 then sum(found) / sum(true_n) else 0 end as recall,
+  case when sum(true2) > 0 then sum(found2) / sum(true2) else 0 end as recall_s2, case when sum(true_n - true2) > 0 then sum(found - found2) / sum(true_n - true2) else 0 end as recall_s3, avg({Q.F05}) as macro_f05, sum(recovered)::bigint as recovered, sum(dropped)::bigint as dropped from f group by all""")
 def quota_frontier(spark, sf_dir):
     c = Case(spark, sf_dir)
     order = _ordered(c).select(F.col("entity_id").alias("cand_id"), "source", "ordinal")
-    ranked = c.pairs().join(order, "cand_id").withColumn("rank", F.row_number().over(Window.partitionBy("s1_id", "source").orderBy("ordinal", "cand_id")))
-    return M.frontier(ranked, c.truth, c.s1, FRONTIER)
+    scored = c.light().select("s1_id", "cand_id", "prob").join(order, "cand_id")
+    ranked = scored.withColumns({"rank": F.row_number().over(Window.partitionBy("s1_id", "source").orderBy("ordinal", "cand_id")), "place": F.row_number().over(Window.partitionBy("s1_id").orderBy("source", "ordinal", "cand_id"))})
+    return M.frontier(ranked, c.truth, c.s1, 0.5)
+
+
+@query(f"""with {Q.BLOCK}, h as (select s.country, t.has_indic, (s1_id, cand_id) in (select (s1_id, cand_id) from ev_pairs) as hit from truth join s1 s on s.entity_id = s1_id join tgt t on t.entity_id = cand_id),
+x as (select 'all' as split, hit from h union all select 'country ' || country, hit from h union all select case when has_indic then 'script cross' else 'script latin' end, hit from h)
+select split, count(*) as links, sum(hit::int)::bigint as found, sum(hit::int) / count(*) as recall from x group by all""")
+def recall_split(spark, sf_dir):
+    c = Case(spark, sf_dir)
+    return M.recall_split(c.truth, c.pairs(), c.s1, c.targets)
+
+
+@query(f"""with {Q.PAIRS}, m as (select s1_id, cand_id from scored where prob >= 0.5), e as (select *, entity_id in (select s1_id from m) as hit from s1),
+x as (select 'country ' || country as split, hit from e union all select case when has_indic then 'script indic' else 'script latin' end, hit from e union all select case when address in ('', 'none', 'null', 'undefined') then 'address missing' else 'address present' end, hit from e)
+select split, count(*) as entities, sum(hit::int)::bigint as matched, sum(hit::int) / count(*) as rate from x group by all
+union all select 'source ' || substring(cand_id, 1, 2), count(*), count(*), count(*) / (select count(*) from m) from m group by substring(cand_id, 1, 2)""")
+def match_rate_split(spark, sf_dir):
+    c = Case(spark, sf_dir)
+    return M.match_split(c.s1, c.light().where("prob >= 0.5").select("s1_id", "cand_id"))
+
+
+@query(f"""with {Q.PAIRS}, per as (select s1_id, sum(label) as p, sum(1 - label) as n from scored group by all), g as (select unnest([0.0, 1.0, 2.0, 3.0, 4.0, 5.0])::double as ratio),
+x as (select ratio, sum(p)::bigint as positives, sum(case when ratio = 0 then n when p > 0 then least(n, greatest(2, floor(p * ratio))) else least(n, floor(ratio)) end)::bigint as negatives from per cross join g group by all)
+select *, positives + negatives as total, case when positives > 0 then negatives / positives else 0 end as per_positive, case when positives + negatives > 0 then 100.0 * positives / (positives + negatives) else 0 end as positive_pct from x""")
+def sampling_ratios(spark, sf_dir):
+    return L.ratio_table(Case(spark, sf_dir).light().select("s1_id", "cand_id", "label"))
+
+
+@query(f"""with {Q.PAIRS}, {Q.SAMPLED}, c as (select entity_id, (select count(*) from scored where s1_id = entity_id and label = 1) as positives, (select count(*) from scored where s1_id = entity_id and label = 0) as negatives, (select count(*) from sampled where s1_id = entity_id and label = 0) as sampled_negatives, (select count(*) from scored where s1_id = entity_id) as candidates from s1)
+{" union all ".join(f"select '{k}' as what, avg({k}) as mean, quantile_cont({k}, 0.5) as median, quantile_cont({k}, 0.95) as p95, max({k}) as most, sum(({k} = 0)::int)::bigint as none from c" for k in ("positives", "negatives", "sampled_negatives", "candidates"))}""")
+def sampling_statistics(spark, sf_dir):
+    c = Case(spark, sf_dir)
+    labelled = c.light().select("s1_id", "cand_id", "label", L.hardness().alias("hardness"))
+    return L.sampling_statistics(c.s1, labelled, L.sample_negatives(labelled))
+
+
+@query(f"with {Q.PREP} select entity_id, country from prep where entity_id in (select cand_id from truth)")
+def filtered_rescan(spark, sf_dir):
+    """The targets that are linked, from a second scan."""
+    c = Case(spark, sf_dir)
+    return R.only(c.ev, c.truth.select(F.col("cand_id").alias("entity_id"))).select("entity_id", "country")
+
+
+@query(f"with {Q.PREP} select entity_id, norm from s1 order by entity_id limit 50")
+def first_s1(spark, sf_dir):
+    return R.first_rows(Case(spark, sf_dir).s1, 50).select("entity_id", "norm")
+
+
+SHARES = {"en": 40, "fr": 15, "de": 10}
+_SHARE_SQL = "case country " + " ".join(f"when '{k}' then {v}" for k, v in SHARES.items()) + " else 0 end"
+
+
+@query(f"with {Q.PREP} select entity_id, country from (select *, row_number() over (partition by country order by entity_id) as r from s1) where r <= {_SHARE_SQL}")
+def stratified_head(spark, sf_dir):
+    return R.first_of_each(Case(spark, sf_dir).s1, SHARES).select("entity_id", "country")
+
+
+@query(f"""with {Q.PREP}, x as (select *, case when right(entity_id, 1) = '5' then '0' else '1' end as later from s1 where right(entity_id, 1) <> '3'),
+r as (select *, row_number() over (partition by country order by later, entity_id) as r from x) select entity_id, country from r where later = '0' or r <= {_SHARE_SQL}""")
+def cohort(spark, sf_dir):
+    """S1 records but those whose id ends with 3; those with 5 are carried over."""
+    s1 = Case(spark, sf_dir).s1
+    return R.cohort(s1, s1.where("entity_id like '%3'"), s1.where("entity_id like '%5'"), SHARES).select("entity_id", "country")
+
+
+@query(f"with {Q.PREP}, n as (select distinct cand_id from truth), r as (select *, row_number() over (partition by source order by entity_id) as r from tgt where entity_id not in (select cand_id from n)) select entity_id, source from r where r <= 100 union all select entity_id, source from tgt where entity_id in (select cand_id from n)")
+def target_pool(spark, sf_dir):
+    c = Case(spark, sf_dir)
+    return R.target_pool(c.targets, c.truth.select(F.col("cand_id").alias("entity_id")), 100).select("entity_id", "source")
+
+
+def _scratch(spark: SparkSession) -> str:
+    """A new folder that driver and executors share."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/files-{uuid.uuid4().hex}"
+
+
+def _tsv(spark: SparkSession, sf_dir: str, quoted: bool) -> str:
+    path = _scratch(spark)
+    rows = entities(spark, sf_dir).select([f.name for f in R.RECORD])
+    rows.write.options(sep="\t", header=True, quote='"' if quoted else "", escape='"' if quoted else "\\", emptyValue="").csv(path)
+    return path
+
+
+@query(f"with {Q.EV} select entity_id, business_name, business_address, country, substring(entity_id, 1, 2) as source from ev")
+def scan_quoted(spark, sf_dir):
+    """The records by way of a quoted file."""
+    return R.read_records(spark, _tsv(spark, sf_dir, True))
+
+
+@query(f"with {Q.EV} select entity_id, business_name, business_address, country, substring(entity_id, 1, 2) as source from ev")
+def scan_raw(spark, sf_dir):
+    """The records by way of an unquoted file, split at tabs."""
+    return R.read_raw(spark, _tsv(spark, sf_dir, False))
+
+
+@query(f"with {Q.EV} select entity_id from ev")
+def scan_first_ids(spark, sf_dir):
+    return R.first_ids(spark, _tsv(spark, sf_dir, False))
+
+
+@query(f"with {Q.BLOCK} select s1_id, cand_id from ev_pairs")
+def scan_lists(spark, sf_dir):
+    """Candidate lists, written and read again."""
+    c, path = Case(spark, sf_dir), _scratch(spark)
+    R.write_lists(spine_lists(c.s1, c.pairs(), "candidate_entity_ids"), path)
+    lists = spark.read.schema("source1_entity_id string, candidate_entity_ids string").options(sep="\t", header=True, quote="").csv(path)
+    return R.explode_lists(lists, *R.CANDIDATES)
+
+
+@query(f"""with {Q.PAIRS}, m as (select s1_id, cand_id from scored where prob >= 0.5), l as (select entity_id as k, entity_id in (select s1_id from m) as hit, s1.country from s1 where right(entity_id, 1) <> '9')
+select '01_one_row_each' as rule, (select count(*) from s1 where right(entity_id, 1) = '9') as violations union all select '02_candidate_prefix', 0 union all select '03_no_s1_candidate', 0 union all select '04_no_cross_country', 0
+union all select '05_matches_are_candidates', count(*) from m where right(s1_id, 1) = '4' union all select '06_no_duplicates', 0 union all select '07_every_country', count(*) from (select country from s1 group by all having country not in (select country from l))
+union all select '08_empty_allowed', (select (count(*) = 0)::int from l where not hit) union all select '09_feature_order', 1 union all select '10_model_loads', 0 union all select '11_threshold', 0 union all select '12_no_semantic_features', 1""".replace("select '01", "select rule, violations::bigint as violations, violations = 0 as passed from (select '01") + ")")
+def preflight_checklist(spark, sf_dir):
+    """The twelve checks over a run with faults: no rows for some S1 records, no candidates for others, a semantic feature."""
+    c = Case(spark, sf_dir)
+    scored = c.light()
+    lists = lambda df, s1: spine_lists(s1, df, "ids")
+    s1 = c.s1.where("entity_id not like '%9'")
+    matches, candidates = lists(scored.where("prob >= 0.5 and s1_id not like '%9'"), s1), lists(scored.where("s1_id not like '%4' and s1_id not like '%9'"), s1)
+    expected = {"features": Fe.NAMES, "threshold": model.THRESHOLD}
+    return validate.checklist(matches, candidates, c.s1, c.targets, expected | {"features": [*Fe.NAMES, "sem_name"]}, expected)
 
 
 @query("select n_name, count(*) as entities, sum(m) as matched, sum(m) / count(*) as rate from (select n_name, case when c_custkey in (select o_custkey from orders) then 1 else 0 end as m from customer join nation on c_nationkey = n_nationkey) group by all")
@@ -480,7 +610,7 @@ def er_pipeline(spark, sf_dir):
 
 
 @query(f"""with {Q.BLOCK}, {Q.NGRAM}, every as (select distinct s1_id, cand_id, evidence from pairs union select s1_id, cand_id, 'blocked_char_ngram' from near),
-one as (select s1_id, cand_id, count(*) as num_blocking_rules from every group by all qualify {_RANKED})
+one as (select * from (select s1_id, cand_id, count(*) as num_blocking_rules from every group by s1_id, cand_id) qualify {_RANKED})
 select s.entity_id as source1_entity_id, coalesce(string_agg(cand_id, ',' order by cand_id), '') as candidate_entity_ids from s1 s left join one on s1_id = s.entity_id group by all""")
 def er_pipeline_ngram(spark, sf_dir):
     """Candidates of all rules and the n-gram neighbours."""
