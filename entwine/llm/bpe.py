@@ -5,7 +5,8 @@ array; two characters of look-ahead (white space before a non-space, apostrophe
 the class, so that the pattern becomes a finite automaton over 18 symbols. A symbol is a function from state to state;
 function composition is associative, so the automaton runs as a blocked scan: all blocks compose their functions in
 parallel, the block functions are applied one after the other, then all blocks replay from their true start state.
-Slices between boundaries feed a cache of merged pairs.
+Slices between boundaries feed a cache of merged pairs; their byte offsets give each token its own, and decoding puts the
+bytes of each token at its offset, all in one gather.
 
 Defined results: null text is the empty text; an empty text has no tokens; the digest of no ids is the digest of no
 bytes; repeated rows give repeated rows; extra columns are ignored.
@@ -155,6 +156,9 @@ class Encoder:
         self.bytes_of = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             self.bytes_of[rank] = token
+        self.length = np.array([len(x) for x in self.bytes_of], np.int64)
+        self.place = np.cumsum(self.length) - self.length
+        self.all_bytes = np.frombuffer(b"".join(self.bytes_of), np.uint8)
         self.cache: dict[bytes, bytes] = {}
 
     def piece(self, piece: bytes) -> bytes:
@@ -168,21 +172,23 @@ class Encoder:
                 self.cache[piece] = got
         return got
 
-    def encode(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[bytes, np.ndarray]:
-        """Ids of all texts, one after the other, as bytes; and where each text's ids begin, counted in ids (n + 1)."""
+    def encode(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, as bytes; where each text's ids begin, counted in ids (n + 1); and the byte
+        offset in `raw` of each token: that of its slice, and what the slice's tokens before it hold."""
         texts = len(offsets) - 1
         data = raw.tobytes()
         codes = np.frombuffer(data.decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
         at = np.flatnonzero((raw & 0xC0) != 0x80)  # byte offset of each character
         if len(at) != len(codes):  # not UTF-8: replaced characters are bytes of their own
-            return self.one_by_one(data, offsets)
+            return self.one_by_one([self.plain(data[x:y]) for x, y in zip(offsets[:-1], offsets[1:], strict=True)], offsets)
         filled = np.flatnonzero(np.diff(offsets))
         first = np.zeros(len(codes), bool)
         begin = np.searchsorted(at, offsets)  # character that each text begins with
         first[begin[:-1][filled]] = True
         symbol, unknown = symbols(codes, first)
         starts = np.flatnonzero(token_starts(symbol))
-        edges = at[starts].tolist()
+        slices_at = at[starts]
+        edges = slices_at.tolist()
         edges.append(len(data))
         piece, cache = self.piece, self.cache
         parts = [cache.get(p) or piece(p) for p in map(data.__getitem__, map(slice, edges, edges[1:]))]
@@ -192,19 +198,31 @@ class Encoder:
         out = b"".join(parts)
         if unknown.any():
             odd = set(np.searchsorted(begin, np.flatnonzero(unknown), "right") - 1)
-            each = [self.plain(data[offsets[i] : offsets[i + 1]]) if i in odd else out[4 * begins[i] : 4 * begins[i + 1]] for i in range(texts)]
-            return b"".join(each), np.cumsum([0, *(len(x) // 4 for x in each)])
-        return out, begins
+            return self.one_by_one([self.plain(data[offsets[i] : offsets[i + 1]]) if i in odd else out[4 * begins[i] : 4 * begins[i + 1]] for i in range(texts)], offsets)
+        held = self.before(out)
+        return out, begins, np.repeat(slices_at - held[sizes[:-1]] if len(parts) else slices_at, np.diff(sizes)) + held
+
+    def before(self, ids: bytes) -> np.ndarray:
+        """Bytes of all tokens before each."""
+        n = self.length[np.frombuffer(ids, "<u4")]
+        return np.cumsum(n) - n
 
     def plain(self, text: bytes) -> bytes:
         return np.array(self.library.encode_ordinary(text.decode("utf-8", "replace")), "<u4").tobytes()
 
-    def one_by_one(self, data: bytes, offsets: np.ndarray) -> tuple[bytes, np.ndarray]:
-        each = [self.plain(data[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-        return b"".join(each), np.cumsum([0, *(len(x) // 4 for x in each)])
+    def one_by_one(self, each: list[bytes], offsets: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray]:
+        begins = np.cumsum([0, *(len(x) // 4 for x in each)])
+        at = [self.before(x) + o for x, o in zip(each, offsets.tolist(), strict=False)]
+        return b"".join(each), begins, np.concatenate(at) if at else np.zeros(0, np.int64)
 
-    def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+    def decode(self, ids: bytes, starts: np.ndarray, size: int | None = None) -> bytes:
+        """The bytes of all tokens, each at its offset, in one gather. size: of the text; without it, up to the last token."""
+        token = np.frombuffer(ids, "<u4")
+        n = self.length[token]
+        inside = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        out = np.zeros(size if size is not None else int(starts[-1] + n[-1]) if len(token) else 0, np.uint8)
+        out[np.repeat(starts, n) + inside] = self.all_bytes[np.repeat(self.place[token], n) + inside]
+        return out.tobytes()
 
 
 @functools.lru_cache(2)
@@ -219,32 +237,33 @@ def encode(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(ranks)
-        lengths = np.array([len(x) for x in enc.bytes_of], np.int64)
         for b in slices(batches):
             raw, offsets = utf8(b.column("text"))
-            ids, begins = enc.encode(raw, offsets)
+            ids, begins, starts = enc.encode(raw, offsets)
             each = [ids[4 * x : 4 * y] for x, y in zip(begins[:-1], begins[1:], strict=True)]
-            starts = [np.cumsum(n) - n for n in (lengths[np.frombuffer(x, "<u4")] for x in each)]
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(each, pa.binary()), pa.array(starts, pa.list_(pa.int64()))], ["id", "ids", "starts"])
+            starts = starts - np.repeat(offsets[:-1], np.diff(begins))
+            lists = pa.LargeListArray.from_arrays(pa.array(begins, pa.int64()), pa.array(starts, pa.int64())).cast(pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(each, pa.binary()), lists], ["id", "ids", "starts"])
 
     found = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
     return found.mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, ids binary, starts array<long>").withColumnRenamed("id", id_col)
 
 
 def decode(encoded: DataFrame, ranks: str, id_col: str = "doc_id") -> DataFrame:
-    """id, decoded (binary: the bytes of the ids, in order)."""
+    """encoded (id, ids, starts) -> id, decoded (binary: the bytes of each id at its offset)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(ranks)
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([enc.decode(x or b"") for x in b.column("ids").to_pylist()], pa.binary())], ["id", "decoded"])
+            rows = zip(b.column("ids").to_pylist(), b.column("starts").to_pylist(), strict=True)
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([enc.decode(x or b"", np.array(at or [], np.int64)) for x, at in rows], pa.binary())], ["id", "decoded"])
 
-    found = encoded.select(encoded[id_col].alias("id"), "ids")
+    found = encoded.select(encoded[id_col].alias("id"), "ids", "starts")
     return found.mapInArrow(run, f"id {encoded.schema[id_col].dataType.simpleString()}, decoded binary").withColumnRenamed("id", id_col)
 
 
 def round_trip(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_tokens, ids_sha256, decoded_sha256: encoded, then decoded from the ids, in one pass over the texts."""
+    """id, n_tokens, ids_sha256, decoded_sha256: encoded, then decoded from ids and offsets, in one pass over the texts."""
     bounded_batches(docs.sparkSession)
     names = ["id", "n_tokens", "ids_sha256", "decoded_sha256"]
 
@@ -252,9 +271,12 @@ def round_trip(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col: st
         enc = encoder(ranks)
         hexed = lambda x: hashlib.sha256(x).hexdigest()
         for b in slices(batches):
-            ids, begins = enc.encode(*utf8(b.column("text")))
+            raw, offsets = utf8(b.column("text"))
+            ids, begins, starts = enc.encode(raw, offsets)
             each = [ids[4 * x : 4 * y] for x, y in zip(begins[:-1], begins[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(np.diff(begins)), pa.array(map(hexed, each), pa.string()), pa.array([hexed(enc.decode(x)) for x in each], pa.string())], names)
+            decoded = memoryview(enc.decode(ids, starts, len(raw)))
+            texts = [hexed(decoded[x:y]) for x, y in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(np.diff(begins)), pa.array(map(hexed, each), pa.string()), pa.array(texts, pa.string())], names)
 
     found = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
     return found.mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)

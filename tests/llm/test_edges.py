@@ -64,11 +64,15 @@ def test_near_duplicates(odd, empty):
 
 def test_urls(spark):
     schema = "page_id long, url string, id string, host string, rule string"
-    pages = spark.createDataFrame([(1, None, "", "", ""), (1, "", "", "", ""), (2, "no scheme porn", "", "", ""), (3, "HTTP://A.Example.ORG/es/x?y", "", "", ""), (4, "x://free-bets.example.net#q", "", "", ""), (None, "http://notorg/", "", "", ""), (5, "http://org", "", "", ""), (6, "http://h.net/FREE" + "a" * 100_000, "", "", "")], schema)
+    pages = spark.createDataFrame([(1, None, "", "", ""), (1, "", "", "", ""), (2, "no scheme porn", "", "", ""), (3, "HTTP://A.Example.ORG/es/x?y", "", "", ""), (4, "x://free-bets.example.net#q", "", "", ""), (7, "x://h/free/click?win=bets", "", "", ""), (8, "x://h/free-sale", "", "", ""), (None, "http://notorg/", "", "", ""), (5, "http://org", "", "", ""), (6, "http://h.net/FREE" + "a" * 100_000, "", "", "")], schema)
     out = {r["page_id"]: r for r in url_filter.judge(pages, (("allow", "org/"), ("block", "example.org/es/"))).collect()}
     assert (out[1]["host"], out[1]["path"], out[1]["rule"], out[1]["verdict"]) == ("", "", None, "allow")
     assert out[2]["verdict"] == "block" and out[3]["rule"] == "example.org/es/" and out[3]["host"] == "a.example.org"
-    assert out[4]["verdict"] == "block" and out[None]["rule"] is None and out[5]["rule"] is None and out[6]["verdict"] == "allow"
+    assert out[4]["verdict"] == out[7]["verdict"] == "block" and out[8]["verdict"] == "allow" and (out[7]["soft_terms"], out[7]["soft_weight"]) == (4, 5)
+    table = spark.createDataFrame([("Sale ", 3, "x"), ("free", 1, "x"), ("free", 0, "x"), (None, 1, "x"), ("", 0, "x")], "term string, weight int, url string")
+    own = {r["page_id"]: r for r in url_filter.judge(pages, (), url_filter.read_vocabulary(table), min_hits=1).collect()}
+    assert own[8]["strict_terms"] == 1 and own[8]["soft_weight"] == 3 and own[4]["verdict"] == "block" and own[3]["verdict"] == "allow"
+    assert url_filter.judge(pages, (), ()).where("verdict = 'block'").count() == 0 and out[None]["rule"] is None and out[5]["rule"] is None and out[6]["verdict"] == "allow"
     assert url_filter.judge(pages.limit(0), ()).count() == 0
 
 
