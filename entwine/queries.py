@@ -26,6 +26,7 @@ from .operators.prepare import enrich, prepare, preprocess
 from .plans.pipeline import Config, Pipeline, rule_score
 from .sources import records as R
 from .sources.records import spine_lists, with_ordinal
+from .sources.shared import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -502,8 +503,7 @@ def target_pool(spark, sf_dir):
 
 def _scratch(spark: SparkSession) -> str:
     """A new folder that driver and executors share."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{root.rstrip('/')}/files-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/files-{uuid.uuid4().hex}"
 
 
 def _tsv(spark: SparkSession, sf_dir: str, quoted: bool) -> str:
