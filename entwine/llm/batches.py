@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..sources.shared import shared_dir
+
 SLICE_BYTES = 1 << 20
 BATCH_ROWS = 1000
 
@@ -50,14 +52,6 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = S
             yield batch.slice(first)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = f"{spark.conf.get('spark.sql.warehouse.dir')}/_staged"
-    return found.rstrip("/")
-
-
 class Stages:
     """Written tables of one query: they cut the lineage, are read as often as needed, and survive lost executors."""
 

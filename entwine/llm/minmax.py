@@ -3,14 +3,18 @@
 1. One pass over the texts: the set of word shingles of each, a fingerprint of the set, and the minimum and the maximum
    of the set under PERMUTATIONS permutations, each evaluated once for both. Texts with equal sets are one class.
 2. Two permutations (two minima, two maxima) make a band. A pair of similarity 0.8 shares none of BANDS bands with a
-   probability of 4e-7. Bands are grouped to buckets; in a bucket, texts are linked for candidates where the estimate of
-   the whole signature is at least SIEVE (0.8 less 5 standard errors), and only a spanning set of these links leaves the
-   task. Buckets of over BUCKET texts are linked as a star, without a sieve, so no bucket is gathered in one task.
-3. Candidate components are cut into blocks of BLOCK texts; each pair of blocks is a tile that holds the whole shingle
-   sets of its texts. A tile compares all its pairs exactly and puts out a spanning set of the true links.
-4. Components of the true links.
-
-Copies are never expanded to pairs, no link is lost but by step 2's probability, and no group is capped.
+   probability of 4e-7. Bands are grouped to buckets. In each, the text of the smallest id leads: every other is compared
+   with it exactly, by whole shingle sets, in parts of BLOCK texts. Components of these links are clusters.
+3. Buckets that hold texts of several clusters may hide further links. In buckets of at most BUCKET texts, texts of
+   different clusters are linked for candidates where the estimate of the whole signature is at least SIEVE (0.8 less 5
+   standard errors); larger ones link all their clusters. Candidate groups of clusters are compared exactly: the texts
+   outside a group's largest cluster with all of the group, in tiles of two blocks of BLOCK texts. Sets whose sizes differ
+   by too much for the similarity are in blocks that don't meet, and texts of one cluster are not compared again.
+4. Components of all links.
+
+Copies are never expanded to pairs, no link is lost but by step 2's probability, and no group is capped. A group of near
+copies around one text costs a comparison each; what is quadratic is the part of a candidate group outside its largest
+cluster.
 
 Defined results: null text, and text without words, has no shingles and is linked with nothing; a text of fewer words
 than the width has one shingle, its whole sequence; a row with a null id takes no part (component and kept are null);
@@ -19,6 +23,7 @@ repeated rows have the same component; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -88,39 +93,30 @@ def by_group(work: Callable[[list[dict]], pa.RecordBatch], key: str, heavy: str)
     return run
 
 
-def spanning(ids: list[int], links: Iterator[tuple[int, np.ndarray]]) -> tuple[list[int], list[int]]:
-    """(id, smallest id of its group) of all that are linked with another. links: a place, and the places linked to it."""
-    label = np.array(ids, np.int64)
+def edge_batch(a: np.ndarray | list[int], b: np.ndarray | list[int]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
+def spanning(label: np.ndarray, links: Iterator[tuple[int, np.ndarray]]) -> pa.RecordBatch:
+    """(label, smallest label of its group) of all labels that are linked with another. links: a place, and the places
+    linked to it."""
+    now = label.copy()
     for i, to in links:
         if len(to):
-            found = np.unique(np.append(label[to], label[i]))
+            found = np.unique(np.append(now[to], now[i]))
             if len(found) > 1:
-                label[np.isin(label, found)] = found[0]
-    moved = np.flatnonzero(label != np.array(ids, np.int64))
-    return [ids[i] for i in moved], label[moved].tolist()
-
-
-def edge_batch(a: list[int], b: list[int]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+                now[np.isin(now, found)] = found[0]
+    moved = np.flatnonzero(now != label)
+    pairs = np.unique(np.stack([label[moved], now[moved]], axis=1), axis=0) if len(moved) else np.zeros((0, 2), np.int64)
+    return edge_batch(pairs[:, 0], pairs[:, 1])
 
 
 def likely(rows: list[dict]) -> pa.RecordBatch:
-    """Spanning links of one bucket where the signatures agree in at least SIEVE of their values."""
-    rows = sorted(rows, key=lambda r: r["id"])
+    """Spanning links between the clusters of one bucket, by texts whose signatures agree in at least SIEVE of their values."""
+    label = np.array([r["root"] for r in rows], np.int64)
     coarse = np.frombuffer(b"".join(r["coarse"] for r in rows), np.uint8).reshape(len(rows), -1)
-    links = ((i, np.flatnonzero((coarse[i + 1 :] == coarse[i]).mean(axis=1) >= SIEVE) + i + 1) for i in range(len(rows) - 1))
-    return edge_batch(*spanning([r["id"] for r in rows], links))
-
-
-def candidates(reps: DataFrame, stages: Stages) -> DataFrame:
-    """Candidate links (a, b), enough to connect every likely pair of a bucket."""
-    banded = reps.select("id", F.explode("bands").alias("band"))
-    buckets = stages.put(banded.groupBy("band").agg(F.count("*").alias("m"), F.min("id").alias("center")).where("m > 1"))
-    members = stages.put(banded.join(buckets, "band"))
-    star = members.where(f"m > {BUCKET} and id <> center").select(F.col("id").alias("a"), F.col("center").alias("b"))
-    small = members.where(f"m <= {BUCKET}").join(reps.select("id", "coarse"), "id").select("band", "id", "coarse")
-    linked = small.repartition("band").sortWithinPartitions("band").mapInArrow(by_group(likely, "band", "coarse"), "a long, b long")
-    return star.unionByName(linked)
+    links = ((i, np.flatnonzero((label[i + 1 :] != label[i]) & ((coarse[i + 1 :] == coarse[i]).mean(axis=1) >= SIEVE)) + i + 1) for i in range(len(rows) - 1))
+    return spanning(label, links)
 
 
 def shingle_rows(docs: DataFrame, wanted: bytes, width: int) -> DataFrame:
@@ -135,40 +131,94 @@ def shingle_rows(docs: DataFrame, wanted: bytes, width: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, shingles binary")
 
 
-def exact(percent: int) -> Callable[[list[dict]], pa.RecordBatch]:
-    """Spanning links of one tile: 100 * intersection >= percent * union."""
+def alike(sets: list[np.ndarray], probes: list[int], percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each probe (a place, in order) the later places with 100 * intersection >= percent * union."""
+    n = np.array([len(s) for s in sets], np.int64)
+    flat = np.concatenate(sets)
+    places = np.unique(flat, return_inverse=True)[1]
+    begins = np.cumsum(n) - n
+    marked = np.zeros(len(flat), bool)
+    for i in probes:
+        if i + 1 < len(sets):
+            mine = places[begins[i] : begins[i] + n[i]]
+            marked[mine] = True
+            both = np.add.reduceat(marked[places[begins[i + 1] :]].astype(np.int64), begins[i + 1 :] - begins[i + 1])
+            marked[mine] = False
+            yield i, np.flatnonzero(100 * both >= percent * (n[i] + n[i + 1 :] - both)) + i + 1
+
+
+def distinct(rows: list[dict], *keys: str) -> list[dict]:
+    """The first row of each id (rows of one id and several texts count once), in the order of keys."""
+    return list({r["id"]: r for r in sorted(rows, key=lambda r: tuple(r[k] for k in (*keys, "id", "shingles")), reverse=True)}.values())[::-1]
+
+
+def with_leader(percent: int) -> Callable[[list[dict]], pa.RecordBatch]:
+    """Links of the texts of one tile with its leader, the row of part 0."""
 
     def work(rows: list[dict]) -> pa.RecordBatch:
-        rows = sorted({r["id"]: r for r in rows}.values(), key=lambda r: r["id"])
+        rows = distinct(rows, "part")
+        if rows[0]["part"] != 0:
+            return edge_batch([], [])
         sets = [np.frombuffer(r["shingles"], np.uint64) for r in rows]
-        n = np.array([len(s) for s in sets], np.int64)
-        flat = np.concatenate(sets)
-        places = np.unique(flat, return_inverse=True)[1]
-        begins = np.cumsum(n) - n
-        marked = np.zeros(len(flat), bool)
-
-        def links() -> Iterator[tuple[int, np.ndarray]]:
-            for i in range(len(rows) - 1):
-                mine = places[begins[i] : begins[i] + n[i]]
-                marked[mine] = True
-                both = np.add.reduceat(marked[places[begins[i + 1] :]].astype(np.int64), begins[i + 1 :] - begins[i + 1])
-                marked[mine] = False
-                yield i, np.flatnonzero(100 * both >= percent * (n[i] + n[i + 1 :] - both)) + i + 1
-
-        return edge_batch(*spanning([r["id"] for r in rows], links()))
+        found = [to for _, to in alike(sets, [0], percent)]
+        return edge_batch([rows[i]["id"] for to in found for i in to.tolist()], [rows[0]["id"]] * sum(map(len, found)))
+
+    return work
+
+
+def across(percent: int) -> Callable[[list[dict]], pa.RecordBatch]:
+    """Spanning links between clusters of one tile: rows of part 0 with each other, if part 1 is empty, and with part 1."""
+
+    def work(rows: list[dict]) -> pa.RecordBatch:
+        rows = distinct(rows, "part")
+        label, part = np.array([r["root"] for r in rows], np.int64), np.array([r["part"] for r in rows])
+        sets, firsts = [np.frombuffer(r["shingles"], np.uint64) for r in rows], int((part == 0).sum())
+        own = firsts == len(rows)
+        links = ((i, to[(label[to] != label[i]) & (own | (to >= firsts))]) for i, to in alike(sets, list(range(firsts)), percent))
+        return spanning(label, links)
 
     return work
 
 
-def true_links(docs: DataFrame, near: DataFrame, stages: Stages, width: int, percent: int) -> DataFrame:
-    """Verified links (a, b) within the candidate components near (node, root)."""
-    sizes = stages.put(near.groupBy("root").agg(F.count("*").alias("m")))
-    blocks = F.ceil(F.col("m") / BLOCK)
-    placed = near.join(sizes, "root").select(F.col("node").alias("id"), "root", blocks.alias("n"), F.pmod(F.xxhash64("node"), blocks).alias("block"))
-    tiles = placed.select("id", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), lambda o: F.xxhash64("root", F.least("block", o), F.greatest("block", o)))).alias("tile"))
-    sets = shingle_rows(docs.withColumn("slot", slot_of("id")), bitmap(near, slot_of("node")), width)
-    held = tiles.join(sets, "id").select("tile", "id", "shingles")
-    return held.repartition("tile").sortWithinPartitions("tile").mapInArrow(by_group(exact(percent), "tile", "shingles"), "a long, b long")
+def leader_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): true links of the members (band, id, center) with their centers."""
+    pairs = members.where("id <> center").select("id", "center").distinct()
+    sizes = pairs.groupBy("center").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
+    placed = pairs.join(sizes, "center").select("id", "center", F.xxhash64("center", F.pmod(F.xxhash64("id"), F.col("parts"))).alias("tile"))
+    leaders = placed.select(F.col("center").alias("id"), "tile").distinct().withColumn("part", F.lit(0))
+    held = placed.select("id", "tile").withColumn("part", F.lit(1)).unionByName(leaders).join(sets, "id")
+    return held.repartition("tile").sortWithinPartitions("tile").mapInArrow(by_group(with_leader(percent), "tile", "shingles"), "a long, b long")
+
+
+def candidates(members: DataFrame, reps: DataFrame, clusters: DataFrame, stages: Stages) -> DataFrame:
+    """(a, b): links of clusters (node, root) that some bucket makes likely."""
+    rooted = members.join(clusters, F.col("id") == F.col("node"), "left").select("band", "id", "m", F.coalesce("root", "id").alias("root"))
+    mixed = rooted.groupBy("band").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("band", "least")
+    open_ = stages.put(rooted.join(mixed, "band"))
+    star = open_.where(f"m > {BUCKET} and root <> least").select(F.col("root").alias("a"), F.col("least").alias("b")).distinct()
+    small = open_.where(f"m <= {BUCKET}").select("band", "id", "root").join(reps.select("id", "coarse"), "id")
+    linked = small.repartition("band").sortWithinPartitions("band").mapInArrow(by_group(likely, "band", "coarse"), "a long, b long")
+    return star.unionByName(linked).distinct()
+
+
+def tiles(nodes: DataFrame, percent: int, stages: Stages) -> DataFrame:
+    """nodes (id, root, grp, n) -> (tile, part, id, root): all pairs of texts of a group that are not both in its largest
+    cluster, and whose sizes are near enough, meet in a tile."""
+    sizes = nodes.groupBy("grp", "root").agg(F.count("*").alias("c"))
+    main = sizes.groupBy("grp").agg(F.max(F.struct(F.col("c"), (-F.col("root")).alias("r"))).alias("x")).select("grp", (-F.col("x.r")).alias("main"))
+    step = F.lit(math.log(100 / percent) * 1.0001) if percent < 100 else F.lit(1e-9)
+    level = F.floor(F.log(F.col("n").cast("double")) / step).cast("long")
+    sided = nodes.join(main, "grp").select("id", "root", "grp", (F.col("root") == F.col("main")).cast("int").alias("side"), level.alias("level"))
+    counts = sided.groupBy("grp", "side", "level").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("parts"))
+    placed = stages.put(sided.join(counts, ["grp", "side", "level"]).select("id", "root", "grp", "side", "level", F.pmod(F.xxhash64("id"), F.col("parts")).alias("b")))
+    blocks = counts.select("grp", "side", "level", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("b"))
+    x, y = (blocks.select("grp", *(F.col(c).alias(f"{c}{k}") for c in ("side", "level", "b"))) for k in (1, 2))
+    one, two = F.struct("side1", "level1", "b1"), F.struct("side2", "level2", "b2")
+    meet = x.where("side1 = 0").join(y, "grp").where((F.abs(F.col("level1") - F.col("level2")) <= 1) & ((F.col("side2") == 1) | (one <= two)))
+    named = stages.put(meet.withColumn("tile", F.xxhash64("grp", "side1", "level1", "b1", "side2", "level2", "b2")))
+    first = named.select("grp", F.col("side1").alias("side"), F.col("level1").alias("level"), F.col("b1").alias("b"), "tile", F.lit(0).alias("part"))
+    second = named.where(one != two).select("grp", F.col("side2").alias("side"), F.col("level2").alias("level"), F.col("b2").alias("b"), "tile", F.lit(1).alias("part"))
+    return first.unionByName(second).join(placed, ["grp", "side", "level", "b"]).select("tile", "part", "id", "root")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -179,10 +229,27 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     signed_docs = stages.put(signatures(texts, width))
     known = signed_docs.where("n_shingles > 0 and id is not null")
     reps = stages.put(known.groupBy("f1", "f2", "n_shingles").agg(F.min(F.struct("id", "bands", "coarse")).alias("r")).select("f1", "f2", "n_shingles", "r.*"))
-    near = stages.put(components(candidates(reps, stages), stages))
-    links = true_links(texts.where("id is not null"), near, stages, width, percent)
-    found = components(links, stages)
+    banded = reps.select("id", F.explode("bands").alias("band"))
+    buckets = stages.put(banded.groupBy("band").agg(F.count("*").alias("m"), F.min("id").alias("center")).where("m > 1"))
+    members = stages.put(banded.join(buckets, "band"))
+    sets = stages.put(shingle_rows(texts.where("id is not null").withColumn("slot", slot_of("id")), bitmap(members, slot_of("id")), width))
+    clusters = stages.put(components(leader_links(members, sets, percent), stages))
+    near = stages.put(candidates(members, reps, clusters, stages))
+    if near.isEmpty():
+        found = clusters
+    else:
+        groups = components(near, stages).select(F.col("node").alias("root"), F.col("root").alias("grp"))
+        every = reps.select("id", F.col("n_shingles").alias("n")).join(clusters, F.col("id") == F.col("node"), "left").select("id", "n", F.coalesce("root", "id").alias("root"))
+        nodes = stages.put(every.join(groups, "root").select("id", "root", "grp", "n"))
+        held = tiles(nodes, percent, stages).join(sets, "id").repartition("tile").sortWithinPartitions("tile")
+        more = components(held.mapInArrow(by_group(across(percent), "tile", "shingles"), "a long, b long"), stages)
+        last = more.select(F.col("node").alias("root"), F.col("root").alias("_last"))
+        joined = clusters.join(last, "root", "left").select("node", F.coalesce("_last", "root").alias("root"))
+        # Clusters of one text have no row yet.
+        found = stages.put(joined.unionByName(last.select(F.col("root").alias("node"), F.col("_last").alias("root")).join(clusters.select("node"), "node", "left_anti")))
     classes = stages.put(reps.select("f1", "f2", "n_shingles", "id").join(found, F.col("id") == F.col("node"), "left").select("f1", "f2", "n_shingles", F.coalesce("root", "id").alias("component")))
+    for old in (reps, buckets, members, sets, clusters, near, found):
+        stages.drop(old)
     out = signed_docs.select("id", "n_shingles", "f1", "f2").join(classes, ["f1", "f2", "n_shingles"], "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
     return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), (F.col("id") == component).alias("kept"))

@@ -12,8 +12,8 @@ beam is expanded. Where the table has no more nodes than pivots, the search is e
 
 Results are vectors, not nodes: copies come in the order of their ids, with the exact distance in double precision.
 
-Defined results: vectors that are null, zero, or hold null or non-finite components take no part; null ids do not either;
-of rows with one id the smallest vector counts; an empty table gives an empty result; extra columns are ignored.
+Defined results: vectors that are null, zero, or hold null or non-finite components take no part; null ids do not either,
+nor do vectors of another length than most have; of rows with one id the smallest vector counts; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from .batches import Stages
@@ -102,13 +103,23 @@ def nearest(edges: DataFrame, group: str, other: str, most: int, *carried: Colum
 
 
 def valid(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
+    """(id, x) of the vectors that take part; x keeps single or double precision."""
     x = F.col("x")
+    kind = vectors.schema[vector_col].dataType
+    exact = "array<float>" if isinstance(getattr(kind, "elementType", None), T.FloatType) else "array<double>"
     finite = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))))
-    found = vectors.select(vectors[id_col].cast("long").alias("id"), vectors[vector_col].cast("array<float>").alias("x"))
+    found = vectors.select(vectors[id_col].cast("long").alias("id"), vectors[vector_col].cast(exact).alias("x"))
     kept = found.where(F.col("id").isNotNull() & x.isNotNull() & finite & F.exists(x, lambda c: c != 0))
     return kept.groupBy("id").agg(F.min("x").alias("x"))
 
 
+def of_one_length(rows: DataFrame) -> DataFrame:
+    """The rows of the most frequent length, the smallest of equals."""
+    size = F.size("x")
+    usual = rows.groupBy(size.alias("n")).agg(F.count("*").alias("c")).orderBy(F.desc("c"), "n").limit(1).collect()
+    return rows.where(size == usual[0]["n"]) if usual else rows
+
+
 def both_ways(graph: DataFrame, most: int) -> DataFrame:
     """(a, b): neighbours of a node, and at most `most` nodes that it is a neighbour of, the nearest."""
     rank = F.row_number().over(Window.partitionBy("v").orderBy("d", "u"))
@@ -199,7 +210,7 @@ def neighbours(vectors: DataFrame, queries: Column, k: int = 10, id_col: str = "
     Euclidean distance among all other rows."""
     spark = vectors.sparkSession
     stages = Stages(spark, "nndescent")
-    rows = stages.put(valid(vectors, id_col, vector_col))
+    rows = of_one_length(stages.put(valid(vectors, id_col, vector_col)))
     nodes = stages.put(rows.groupBy("x").agg(F.min("id").alias("node")).select("node", F.col("x").alias("v")))
     picked = nodes.orderBy(F.xxhash64("node"), "node").limit(max(PIVOTS, math.isqrt(nodes.count()))).collect()
     if not picked:

@@ -1,11 +1,18 @@
 """Every operator over odd rows and over no rows."""
 
+import os
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from entwine.llm import bpe, language, media, minmax, nndescent, packing, quality, token_counts, toxicity, url_filter
 
+from test_methods import brute_components
+
+DATA = "/root/testdata/sf0.001"
+
 
 def trained(docs):
     labels = docs.select("doc_id", F.when(F.col("doc_id") % 2 == 0, 1).otherwise(0).alias("quality"), F.when(F.col("doc_id") % 2 == 0, 1).otherwise(0).alias("toxic"))
@@ -111,6 +118,9 @@ def test_neighbours(spark):
     assert [(r["query_id"], r["rank"], r["vec_id"]) for r in out] == [(0, 1, 1), (0, 2, 2), (0, 3, 8), (0, 4, 100), (100, 1, 8), (100, 2, 0), (100, 3, 1), (100, 4, 2)]
     assert out[0]["score"] == 0 and abs(out[3]["score"] - 2**0.5) < 1e-12
     assert nndescent.neighbours(table.limit(0), F.col("id") % 100 == 0).count() == 0
+    ragged = spark.createDataFrame([(0, [1.0, 2.0]), (1, [1.0, 2.0 + 1e-12]), (2, [1.0, 2.5]), (3, [1.0, 2.0, 3.0]), (4, []), (100, [5.0])], "vec_id long, embedding array<double>")
+    out = nndescent.neighbours(ragged, F.col("id") % 100 == 0).orderBy("query_id", "rank").collect()
+    assert [(r["query_id"], r["vec_id"]) for r in out] == [(0, 1), (0, 2)] and 0 < out[0]["score"] < 1e-11  # double precision is kept
 
 
 def test_pipeline_stages(spark, odd, empty, tmp_path):
@@ -124,3 +134,52 @@ def test_pipeline_stages(spark, odd, empty, tmp_path):
             out.write.mode("overwrite").parquet(f"{tmp_path}/{name}")
     kept = corpus_pipeline.dedup_stage(spark, slim(odd), str(tmp_path)).collect()
     assert sorted(r["doc_id"] for r in kept if r["doc_id"] is not None) == [1, 2, 3, 4, 5, 6, 8, 9, 10] and sum(r["doc_id"] is None for r in kept) == 2
+
+
+def test_pipeline_with_other_columns(spark, odd, tmp_path):
+    """Extra columns with names that operators use, nulls in all of them: they come out of every filtering stage."""
+    odd.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"), F.lit(0).alias("toxic")).write.parquet(f"{tmp_path}/labels.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, odd, str(tmp_path))
+        if name != "packing":
+            assert out.columns == odd.columns
+        out.collect()
+
+
+def test_language_stage_rejects_by_the_random_field(spark, tmp_path):
+    """Mixed texts, and languages that are not wanted, go; rows without a label are judged by their words."""
+    import random
+
+    rng = random.Random(5)
+    words = {"en": "the cat sat with another thing on this mat".split(), "de": "der Hund und die Katze schlafen nicht heute".split(), "fr": "le chat dort sur une chaise avec ses amis".split()}
+    rows = [(10 * i + k, " ".join(rng.choices(words[c], k=40)), c, "s", 1) for i in range(60) for k, c in enumerate(words)]
+    mixed = [w for _ in range(4) for c in words for w in rng.choices(words[c], k=10)]
+    rows += [(5000, " ".join(mixed), None, "s", 1), (5001, " ".join(rng.choices(words["de"], k=40)), None, "s", 1), (5002, "123 ！", None, "s", 1), (5003, None, None, "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    ids = lambda df: {r["doc_id"] for r in df.collect()}
+    every = {r[0] for r in rows}
+    assert ids(corpus_pipeline.language_stage(spark, docs, "")) == every - {5000, 5002, 5003}
+    german = corpus_pipeline.language_stage(spark, docs, "", wanted=frozenset({"de"}))
+    assert ids(german) == {r[0] for r in rows if r[2] == "de"} | {5001}
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
+def test_pipeline_is_its_operators(spark):
+    """The whole pipeline against classifiers applied row by row, brute-force grouping and the tokenizer's counts."""
+    import public_tokenizers
+
+    docs, labels = (spark.read.parquet(f"{DATA}/{t}.parquet") for t in ("documents", "labels"))
+    learn = corpus_pipeline.remainder(F.col("doc_id"), 4) != 2
+    good = quality.train(docs.where(learn), labels.where(learn), "quality")
+    tables = good.pair_tables()
+    rows = [r for r in docs.collect() if r["text"] and quality.scores(*quality.utf8(pa.array([r["text"]])), good, tables)[0] >= 0.7]
+    left = spark.createDataFrame(rows, docs.schema)
+    field = language.train(left.where(learn), "doc_id", "text", "lang")
+    names = [language.labelled(pa.RecordBatch.from_arrays([pa.array([r["text"]])], ["text"]), field) for r in rows]
+    rows = [r for r, (name, score) in zip(rows, names, strict=True) if name[0] != "und" and score[0] >= 0.5]
+    roots = brute_components({r["doc_id"]: r["text"] for r in rows}, 5, 80)
+    rows = [r for r in rows if roots[r["doc_id"]][1] == r["doc_id"]]
+    t = packing.Tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    want = {r["doc_id"]: len(t.ids(r["text"])) + 1 for r in rows}
+    out = corpus_pipeline.run(spark, DATA).toPandas()
+    assert out.groupby("doc_id")["length"].sum().to_dict() == want and (out.groupby("sequence_id")["length"].sum().sort_index().iloc[:-1] == 2048).all()

@@ -170,6 +170,40 @@ def test_large_groups_of_near_copies(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minmax.near_duplicates(docs, 4).collect()} == brute_components(texts, 4, 80)
 
 
+def test_copies_of_one_text_need_no_tiles(spark, monkeypatch):
+    """3,000 texts around one: a comparison with the leader of a bucket each links them all."""
+    monkeypatch.setattr(minmax, "tiles", None)
+    rng, base = random.Random(6), [f"w{i}" for i in range(150)]
+    texts = {0: " ".join(base)}
+    for i in range(1, 3000):
+        now = list(base)
+        now[rng.randrange(150)] = f"e{i}"
+        texts[i] = " ".join(now)
+    out = minmax.near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4), 4).collect()
+    assert {r["component_id"] for r in out} == {0} and len(out) == 3000
+
+
+def test_tiles_meet_all_that_may_be_linked(spark, monkeypatch):
+    """Every pair of a group that is not in its largest cluster and has sizes near enough is in a tile, and few others."""
+    monkeypatch.setattr(minmax, "BLOCK", 8)
+    rng = random.Random(2)
+    rows = [(i, rng.choice([0, 0, 0, 0, i]), 7 if i < 150 else 9, rng.choice([10, 12, 13, 100, 119, 1000])) for i in range(200)]
+    rows = [(i, root if g == 7 else i, g, n) for i, root, g, n in rows]
+    nodes = spark.createDataFrame(rows, "id long, root long, grp long, n long")
+    placed = collections.defaultdict(lambda: ([], []))
+    for r in minmax.tiles(nodes, 80, Stages(spark, "t")).collect():
+        placed[r["tile"]][r["part"]].append(r["id"])
+    met = set()
+    for one, two in placed.values():
+        met |= {frozenset(p) for p in (itertools.product(one, two) if two else itertools.combinations(one, 2))}
+    main = {7: 0, 9: 150}
+    for (i, a, g, n), (j, b, h, m) in itertools.combinations(rows, 2):
+        if g == h and (a != main[g] or b != main[g]) and 100 * min(n, m) >= 80 * max(n, m):
+            assert frozenset((i, j)) in met
+        if g != h or max(n, m) > 2 * min(n, m) or (a == b == main[g] and a != i):
+            assert frozenset((i, j)) not in met
+
+
 def test_min_max_estimates_similarity():
     rng = np.random.default_rng(1)
     common, a, b = rng.integers(0, 1 << 62, 600).astype(np.uint64), rng.integers(0, 1 << 62, 100).astype(np.uint64), rng.integers(0, 1 << 62, 100).astype(np.uint64)
