@@ -25,7 +25,7 @@ from entwine.llm.batches import Stages, bounded_batches, slices
 from entwine.llm.training import remainder
 
 QUALITY = 0.7  # as in the query of the classifier
-SHARE = 0.5  # least mean marginal of a text's language
+SHARE = 0.4  # least mean marginal of a text's language: texts in two languages stay
 WANTED: frozenset[str] | None = None  # languages to keep; None: all learned ones
 
 
