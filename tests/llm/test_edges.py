@@ -176,7 +176,7 @@ def test_pipeline_is_its_operators(spark):
     left = spark.createDataFrame(rows, docs.schema)
     field = language.train(left.where(learn), "doc_id", "text", "lang")
     names = [language.labelled(pa.RecordBatch.from_arrays([pa.array([r["text"]])], ["text"]), field) for r in rows]
-    rows = [r for r, (name, score) in zip(rows, names, strict=True) if name[0] != "und" and score[0] >= 0.5]
+    rows = [r for r, (name, score) in zip(rows, names, strict=True) if name[0] != "und" and score[0] >= corpus_pipeline.SHARE]
     roots = brute_components({r["doc_id"]: r["text"] for r in rows}, 5, 80)
     rows = [r for r in rows if roots[r["doc_id"]][1] == r["doc_id"]]
     t = packing.Tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
