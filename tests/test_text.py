@@ -28,6 +28,17 @@ def test_codes(spark):
     assert values(spark, X.number_tokens, "7 a 7 b8 9c") == [["7", "b8", "9c"]]
 
 
+def test_house_words_after_other_letters(spark):
+    """RE2, and so the SQL of the queries, begins a word after a letter beyond ASCII; the operator by itself does not."""
+    texts = ["2457 Ciónííñ. Ciónos ññción ñdo no 10657", "no 5 ñno 6", "x#7", "é#8", "Plot No. 3-B Main", "añno 12", "9 #4"]
+    assert values(spark, X.house_number, *texts) == ["10657", "5", "7", "8", "3-B", "12", "9"]
+    assert values(spark, lambda c: X.house_number(c, ascii_words=True), *texts) == ["2457", "5", "7", "é#8", "3-B", "12", "9"]
+    duckdb = pytest.importorskip("duckdb")
+    pattern = X.HOUSE_PREFIXED.removeprefix("(?i)")
+    want = [duckdb.execute("select regexp_extract(?, ?, 1, 'i')", [t, pattern]).fetchone()[0] for t in texts]
+    assert values(spark, lambda c: F.regexp_extract(c, X.HOUSE_PREFIXED_ASCII, 1), *texts) == want
+
+
 def test_scripts(spark):
     assert X.latin("నీలం పుస్తకాలు ప్రైవేట్ లిమిటెడ్") == "neelan pustakaalu praivet limited"
     assert values(spark, X.has_indic, "abc", "అ", None) == [False, True, False]
