@@ -51,6 +51,18 @@ def test_quota(spark):
     assert B.shared_quota(pairs).count() == 150
 
 
+def test_ngrams_of_equal_names_in_blocks(spark, monkeypatch):
+    """Many records of a few names, in several blocks: the neighbours of all pairs of records."""
+    names = ["amber birch works", "amber birch", "cedar dune", "cedar dunes works", "birch amber", "dune"]
+    side = lambda s, n: prepare(spark.createDataFrame([(f"{s}-{i:03d}", names[i * i % 6], "", "US") for i in range(n)], RECORDS))
+    s1, targets = side("S1", 9).cache(), side("S2", 40).cache()
+    want = sorted(map(tuple, B.ngram_neighbours(s1, targets, floor=0.2, share_df=1.0, k=1000).collect()))
+    first = lambda i: sorted((r for r in want if r[0] == i), key=lambda r: (-r[2], r[1]))[:7]
+    monkeypatch.setattr(B, "NAMES_A_BLOCK", 2)
+    got = sorted(map(tuple, B.ngram_neighbours(s1, targets, floor=0.2, share_df=1.0, k=7).collect()))
+    assert got == sorted(r for i in sorted({r[0] for r in want}) for r in first(i)) and len(got) == 63
+
+
 def test_caps(spark, targets):
     many = prepare(spark.createDataFrame([(f"S2-{i}", "same name here", "", "US") for i in range(B.BUCKET + 1)], RECORDS))
     assert found(spark, many, "same name here", "", "US", ("exact",)) == set()
