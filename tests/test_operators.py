@@ -51,6 +51,20 @@ def test_quota(spark):
     assert B.shared_quota(pairs).count() == 150
 
 
+@pytest.mark.parametrize("mode", ["online", "preflight"])
+def test_quotas_bound_online_buckets(spark, mode):
+    """Whole buckets and those cut at the limits of the quota give the same pairs and evidence, and the latter fewer rows."""
+    words = ["amber", "birch", "cedar", "dune"]
+    row = lambda s, i: (f"{s}-{i}", f"{words[i % 2]} {words[i // 2 % 4]}", f"{i % 3} {words[i % 4]} {words[i % 4]} 1234{i % 2}", "US")
+    s1 = prepare(spark.createDataFrame([row("S1", i) for i in range(12)], RECORDS)).cache()
+    targets = R.with_ordinal(prepare(spark.createDataFrame([row(s, i) for i in range(60) for s in ("S2", "S3")], RECORDS))).cache()
+    limits = {"S2": 3, "S3": 5}
+    whole, bound = B.block_online(s1, targets, mode), B.block_online(s1, targets, mode, limits=limits)
+    rows = lambda df: sorted((r["s1_id"], r["cand_id"], *r["rules"]) for r in df.collect())
+    assert rows(B.quota(whole, limits)) == rows(B.quota(bound, limits)) and bound.distinct().count() < whole.count()
+    assert rows(B.shared_quota(whole, 7)) == rows(B.shared_quota(B.block_online(s1, targets, mode, shared=7), 7))
+
+
 def test_ngrams_of_equal_names_in_blocks(spark, monkeypatch):
     """Many records of a few names, in several blocks: the neighbours of all pairs of records."""
     names = ["amber birch works", "amber birch", "cedar dune", "cedar dunes works", "birch amber", "dune"]
