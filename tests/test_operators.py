@@ -286,3 +286,13 @@ def test_feature_ablation(spark):
     assert set(model.CONFIGS) == {"champion", "weighted", "shallow", "balanced", "large", "leaves"} and model.promoted(0.5, 0.6) and not model.promoted(0.5, 0.5)
     heavy = model.fit(table, ["name_exact"], positive_weight=3.65, maxIter=1, maxDepth=1)
     assert model.score(heavy, table.select("label", "name_exact")).where("prob > 0.5").count() == 30
+
+
+def test_ranked_candidates_are_shuffled_once(spark, targets):
+    """Union of rules and quota need one shuffle of all pairs; there were four, with a join of ordinals."""
+    s1 = prepare(spark.createDataFrame([("S1-1", "Zephyr Freight Inc", "640 Harbor Parkway, Tallgrass 75990", "US")], RECORDS))
+    pairs = Pipeline(spark, Config()).candidates(s1, targets)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    by = [line.split("hashpartitioning(")[1] for line in plan.splitlines() if "hashpartitioning(" in line]
+    assert sum(k.startswith("s1_id") for k in by) == 1 and not any("cand_id" in k.split("),")[0] for k in by)
+    assert [(r["s1_id"], r["cand_id"]) for r in pairs.collect()] == [("S1-1", "S2-003")]
