@@ -95,7 +95,7 @@ class BatchRun:
         """records: entity_id, business_name, business_address, country. stop_after: so many new batches, then stop."""
         self.roll_back()
         done, new = self.committed(), 0
-        ready = prepare(records, self.pipeline.config.ascii_words)
+        ready = prepare(records, self.pipeline.config.ascii_words, self.pipeline.config.nulls)
         targets, s1 = ready.where("source <> 'S1'"), ready.where("source = 'S1'")
         for number in range(self.batches):
             if number in done:
